@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import capping, fuzzy, overlap, postings, ranking, splits
+from tamiz.llm import bpe, capping, fuzzy, overlap, packing, pairs, postings, ranking, spam, splits
 from tamiz.llm.common import records, source_of, split_of, table
 from tamiz.plans.durable import durable
 
@@ -69,15 +69,22 @@ def _cross_pairs(sets: DataFrame) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    pairs = _cross_pairs(_sides(spark, d))
-    return pairs.select(F.least("train", "other").alias("qa_id_a"), F.greatest("train", "other").alias("qa_id_b"))
+    found = _cross_pairs(_sides(spark, d))
+    return found.select(F.least("train", "other").alias("qa_id_a"), F.greatest("train", "other").alias("qa_id_b"))
 
 
 def p3_counts(spark: SparkSession, d: str) -> DataFrame:
     """The number of overlapping pairs, and of held-out records in one, by split and source of the held-out record."""
-    pairs = _cross_pairs(_sides(spark, d))
+    found = _cross_pairs(_sides(spark, d))
     of = records(table(spark, d, "raw"), pdf_id=source_of(), split=split_of()).withColumnRenamed("qa_id", "other")
-    return pairs.join(of, "other").groupBy("split", "pdf_id").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("other").alias("records"))
+    return found.join(of, "other").groupBy("split", "pdf_id").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("other").alias("records"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    raw = table(spark, d, "raw").filter(F.col("qa_id").isNotNull())
+    each = pairs.defects(raw, ["qa_id", "row_no"], "pregunta", "respuesta")
+    of = each.groupBy("qa_id").agg(F.min_by(F.struct("defect"), "row_no").alias("d")).select("qa_id", "d.defect")
+    return of.filter(F.col("defect").isNotNull())
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
@@ -112,6 +119,35 @@ def p6_groups(spark: SparkSession, d: str) -> DataFrame:
     return groups.join(names, "group_key").select(F.col("id").alias("qa_id"), "group_id", "links")
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode_texts(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose ids don't decode to their text: none."""
+    documents = table(spark, d, "documents").select("doc_id", "text")
+    back = bpe.decode_ids(bpe.encode_texts(documents, "doc_id", "text"), "doc_id", "ids").withColumnRenamed("text", "decoded")
+    return documents.join(back, "doc_id").filter(F.col("decoded") != F.coalesce("text", F.lit(""))).select("doc_id")
+
+
+def _containers(spark: SparkSession, d: str, capacities: tuple[int, ...]) -> DataFrame:
+    sizes = bpe.token_counts(table(spark, d, "documents"), "doc_id", "text")
+    return packing.fill_containers(sizes, "doc_id", "n", capacities)
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    return _containers(spark, d, (2048,)).drop("capacity")
+
+
+def p8_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """The same with three permitted sequence lengths."""
+    return _containers(spark, d, (512, 1024, 2048))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam.spam_pages(table(spark, d, "documents"), "doc_id", "text", "lang").select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n[0] == "p" and n[1].isdigit() and callable(f)}
 

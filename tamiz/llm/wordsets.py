@@ -73,19 +73,26 @@ def slices(texts: Sequence[str | None], limit: int = SLICE_CHARS) -> Iterator[tu
 
 def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Text number and hash (``HASH_BITS`` bits) of every word, in order; null texts have no words."""
+    return words_in_order(texts)[:2]
+
+
+def words_in_order(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`word_hashes`, and whether each word begins with a digit, and whether a full stop, question or
+    exclamation mark follows it at once."""
     table, keys = _tables()
     plain = [("" if t is None else t if t.isascii() else unicodedata.normalize("NFKD", t)) for t in texts]
     lengths = np.fromiter(map(len, plain), dtype=np.int64, count=len(plain))
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool)
     if not lengths.sum():
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none
     codes = np.frombuffer("".join(plain).encode("utf-32-le", "surrogatepass"), dtype="<u4")
     kind = table[codes]
     owner = np.repeat(np.arange(len(plain), dtype=np.int32), lengths)
     if (drop := kind == _DROP).any():
-        kind, owner = kind[~drop], owner[~drop]
+        kind, owner, codes = kind[~drop], owner[~drop], codes[~drop]
     at = np.flatnonzero(kind).astype(np.int32)
     if not len(at):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none
     kind, owner = kind[at], owner[at]
     first = np.ones(len(at), dtype=bool)
     first[1:] = (at[1:] - at[:-1] != 1) | (owner[1:] != owner[:-1])
@@ -95,7 +102,10 @@ def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     value = keys[((place & (_POSITIONS - 1)) << 8) | kind]
     if sizes.max() > _POSITIONS:
         value = value * (2 * (place // _POSITIONS).astype(np.uint64) + np.uint64(1))
-    return owner[starts].astype(np.int64), mix(np.add.reduceat(value, starts) + sizes.astype(np.uint64)) >> np.uint64(64 - HASH_BITS)
+    hashes = mix(np.add.reduceat(value, starts) + sizes.astype(np.uint64)) >> np.uint64(64 - HASH_BITS)
+    after = codes[np.minimum(at[starts + sizes - 1] + 1, len(codes) - 1)]
+    stop = (after == ord(".")) | (after == ord("!")) | (after == ord("?"))
+    return owner[starts].astype(np.int64), hashes, kind[starts] < ord("a"), stop
 
 
 def word_sets(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
