@@ -48,7 +48,7 @@ class Allocation:
         return (1 - self.threshold) / (1 + self.threshold)
 
 
-def word_kinds(counts: np.ndarray, sets: int, pairs_per_set: float = 40.0, middling: float = 60.0) -> np.ndarray:
+def word_kinds(counts: np.ndarray, sets: int, pairs_per_set: float = 250.0, middling: float = 75.0) -> np.ndarray:
     """Rare: as many of the rarest words as cost at most ``pairs_per_set`` comparisons a set. Middling: the next ones,
     up to ``middling`` words a set. Cost-based and counted over all sets; any choice finds the same pairs."""
     used = np.sort(counts[counts > 0]).astype(np.float64)
@@ -124,7 +124,7 @@ def _emit(plan: Allocation, bitmap: np.ndarray | None):
     def emit(batch: pa.RecordBatch) -> tuple:
         keys, bounds, tokens, owner, kinds, budget, band = _read(plan, batch)
         rare = kinds == 1
-        sigs, docs, values = [mix(tokens[rare] ^ np.uint64(0xBB67AE8584CAA73B))], [owner[rare]], [np.zeros(rare.sum(), np.uint32)]
+        sigs, docs, values = [mix(tokens[rare] ^ np.uint64(0xBB67AE8584CAA73B))], [owner[rare]], [np.zeros(rare.sum(), np.uint8)]
         middling = kinds == 2
         mo, mt = owner[middling], tokens[middling]
         for k, top in enumerate(plan.bands):
@@ -140,7 +140,7 @@ def _emit(plan: Allocation, bitmap: np.ndarray | None):
                 sig, doc, deleted, other = (x[hit | ~other] for x in (sig, doc, deleted, other))
             sigs.append(sig)
             docs.append(doc)
-            values.append(deleted.astype(np.uint32) + 2 * other.astype(np.uint32))
+            values.append(deleted.astype(np.uint8) + 2 * other.astype(np.uint8))
         table = np.zeros(len(keys), dtype=_DOC)
         table["key"], table["n"] = keys, np.diff(bounds)
         one = np.left_shift(np.uint64(1), tokens & np.uint64(63))
@@ -173,17 +173,18 @@ def _reduce(plan: Allocation):
         end = np.repeat(ends, np.diff(np.append(-1, ends)))
         other, deleted = (word >> np.uint64(31) & np.uint64(1)).astype(bool), (word & np.uint64(1)).astype(bool)
         doc = ((word >> np.uint64(1)) & np.uint64((1 << 30) - 1)).astype(np.int64)
-        n, s0, s1 = docs["n"], docs["s0"], docs["s1"]
+        # By posting, so that the pairs of one step read neighbouring memory.
+        n, s0, s1 = docs["n"][doc], docs["s0"][doc], docs["s1"][doc]
+        most = (plan.slack * np.arange(2 * int(n.max(initial=0)) + 1) + 1e-9).astype(np.int32)
         active, step, got, size = np.flatnonzero(~other & (end > np.arange(len(end)))), 1, [], 0
         while len(active):
             i, j = active, active + step
-            ok = ~(deleted[i] & deleted[j])
-            a, b = doc[i[ok]], doc[j[ok]]
-            na, nb = n[a], n[b]
-            ok = (a != b) & (np.minimum(na, nb) >= plan.threshold * np.maximum(na, nb) - 1e-9)
-            a, b = a[ok], b[ok]
-            odd = np.bitwise_count(s0[a] ^ s0[b]).astype(np.int32) + np.bitwise_count(s1[a] ^ s1[b])
-            ok = odd <= plan.slack * (n[a] + n[b]) + 1e-9
+            odd = np.bitwise_count(s0[i] ^ s0[j]) + np.bitwise_count(s1[i] ^ s1[j])
+            ok = np.flatnonzero(odd <= most[n[i] + n[j]])
+            i, j = i[ok], j[ok]
+            low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+            ok = (doc[i] != doc[j]) & ~(deleted[i] & deleted[j]) & (low >= plan.threshold * high - 1e-9)
+            a, b = doc[i], doc[j]
             if ok.any():
                 got.append((a[ok], b[ok]))
                 size += int(ok.sum())
@@ -226,7 +227,7 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
         bitmap = sc.broadcast(folded(sets.select("key", "tokens"), mark, 1 << (BITMAP_BITS - 3), "uint8", "bitwise_or"))
     emit = lambda batch: _emit(shared.value, bitmap and bitmap.value)(batch)
     reduce = lambda *x: _reduce(shared.value)(*x)
-    pairs = exchange(sets.select("key", "tokens"), emit, reduce, _DOC, partitions_for(sets, total, 200_000))
+    pairs = exchange(sets.select("key", "tokens"), emit, reduce, _DOC, np.uint8, partitions_for(sets, total, 200_000))
     pairs = durable(pairs.distinct())
     found = verified(sets, pairs)
     return found.filter(F.col("common") >= F.lit(threshold) * (F.col("na") + F.col("nb") - F.col("common")) - 1e-9)

@@ -92,7 +92,7 @@ def cosine_candidates(sets: DataFrame, threshold: float, weights: str = "unit")
             yield doc[np.repeat(left[done:last], n)], doc[right[np.repeat(begin[done:last], n) + inside]]
             done = last
 
-    return exchange(rows, emit, reduce, _DOC, partitions_for(sets, total, 400_000), extra=("side",)).distinct()
+    return exchange(rows, emit, reduce, _DOC, np.uint32, partitions_for(sets, total, 400_000), extra=("side",)).distinct()
 
 
 def cross_split_overlaps(sets: DataFrame, overlap: float) -> DataFrame:

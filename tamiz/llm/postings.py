@@ -112,10 +112,10 @@ def document_counts(sets: DataFrame) -> np.ndarray:
     return folded(sets.select("key", "tokens"), add, 1 << BUCKET_BITS, "uint32")
 
 
-def exchange(sets: DataFrame, emit: Callable, reduce: Callable, doc_type: np.dtype, partitions: int, extra: Sequence[str] = ()) -> DataFrame:
+def exchange(sets: DataFrame, emit: Callable, reduce: Callable, doc_type: np.dtype, value_type: type, partitions: int, extra: Sequence[str] = ()) -> DataFrame:
     """Candidate pairs (``a``, ``b``) of set keys.
 
-    ``emit(batch)`` gives signatures (64 bits), the postings' document numbers, their values (uint32) and the
+    ``emit(batch)`` gives signatures (64 bits), the postings' document numbers, their values (``value_type``) and the
     documents (``doc_type``, with a field ``key``). All postings of a signature meet in one partition, where
     ``reduce(sig, doc, value, docs)`` yields arrays of document numbers that are candidates.
     """
@@ -132,8 +132,8 @@ def exchange(sets: DataFrame, emit: Callable, reduce: Callable, doc_type: np.dty
                 used, place = np.unique(doc[lo:hi], return_inverse=True)
                 rows["part"].append(int(part[lo]))
                 rows["sig"].append(low[lo:hi].tobytes())
-                rows["doc"].append(place.astype(np.uint32).tobytes())
-                rows["value"].append(value[lo:hi].astype(np.uint32).tobytes())
+                rows["doc"].append(place.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes())
+                rows["value"].append(value[lo:hi].tobytes())
                 rows["docs"].append(docs[used].tobytes())
             if rows["part"]:
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "part" else pa.binary()) for k, v in rows.items()})
@@ -144,8 +144,8 @@ def exchange(sets: DataFrame, emit: Callable, reduce: Callable, doc_type: np.dty
             for s, d, v, t in zip(*(batch.column(c).to_pylist() for c in ("sig", "doc", "value", "docs")), strict=True):
                 t = np.frombuffer(t, doc_type)
                 sigs.append(np.frombuffer(s, np.uint32))
-                at.append(np.frombuffer(d, np.uint32) + np.uint32(n))
-                values.append(np.frombuffer(v, np.uint32))
+                at.append(np.frombuffer(d, np.uint16 if len(d) < len(s) else np.uint32).astype(np.uint32) + np.uint32(n))
+                values.append(np.frombuffer(v, value_type))
                 docs.append(t)
                 n += len(t)
         if not n:
