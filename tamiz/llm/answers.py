@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from math import log
 
 #: What stands in a field that holds no answer, as words.
 PLACEHOLDERS = frozenset((
@@ -28,23 +29,38 @@ REFUSAL_CORES = (
     r"it is (not possible|impossible) for me", r"i (do not|don t) (have|know)", r"i have no (data|information|answer)", r"(the|this|that) (passage|text|context|excerpt|fragment|document) (given )?(does not|doesn t) (say|give|contain|allow|mention|provide|include)",
     r"(the|an) answer (can ?not|can t) be", r"(that|this|your) (question|query|request) (is|lies|falls) (outside|beyond)", r"no comment$", r"i (would not|wouldn t) know",
 )
+#: What declines wherever it stands in a short answer.
+REFUSALS_ANYWHERE = (
+    r"no voy a (contestar|responder|opinar|dar|ofrecer)", r"no (ofrezco|doy|facilito|proporciono) (pautas|consejos?|recomendaciones|indicaciones|respuestas?|opiniones)",
+    r"(mis|las|nuestras) (normas|politicas|instrucciones|directrices|reglas) (no )?(me |nos )?(impiden|permiten|prohiben)", r"no (es )?respondible", r"como (modelo de lenguaje|asistente virtual|inteligencia artificial)",
+    r"no (lo )?(puedo|podria|sabria) (responder|contestar|decir)\w*", r"prefiero no (contestar|responder|opinar)", r"as an? (ai|language model)", r"i (can ?not|can t|will not|won t|am unable to|m unable to) (answer|reply|respond|help|advise|say)",
+    r"my (guidelines|rules|policies|instructions) (forbid|prevent|do not|don t)", r"(question|it) can ?not be answered", r"(passage|text|material|context) does not (say|clarify|make it clear)",
+)
+_ANYWHERE = re.compile(r"\b(?:" + "|".join(REFUSALS_ANYWHERE) + r")\b")
 _OPENING = re.compile("^(?:(?:" + "|".join(REFUSAL_OPENINGS) + ") )*")
 _CORE = re.compile("(?:" + "|".join(REFUSAL_CORES) + ")")
 #: Function words by language, without accents; those of one language only tell it apart.
 LANGUAGE_WORDS = {
-    "es": "el los las del y una unos unas con por para se su sus que es son fue como si desde hasta ante tras segun porque cuando pero en al lo le ello cada sin sobre entre mas donde cual cuales cuando cuantas cuantos quien este esta estos estas ser hay ha han muy ya la de",
+    "es": "a al ante antes aqui asi aun aunque bajo cada como con contra cual cuales cuando cuanto cuantas cuantos de del desde despues donde durante e el ella ellas ellos en entre era eran es esa ese eso esta estan estas este esto estos fue fueron ha habia han hasta hay junto la las le les lo los mas me mediante menos mientras muy ni no nos o otra otro para pero por porque pues que quien se segun ser si siempre sin sobre solo son su sus tal tambien tan tiene todo todos tras tu u un una unas uno unos y ya",
     "en": "the of and to in is are was were be been by with from that which for on at as it its this these has had have not or when what how why who whom whose does do did should would could into after before between than their them they there if provided once over under while until about against among",
-    "fr": "le les des du une est et dans pour par sur au aux qui que ne pas il elle on avec car chez ce cette ces son sa ses sont ont plus ou mais si leur se en jusqu a faut apres avant selon moins observe lors afin la de un ensuite puis cas",
-    "pt": "o os as da das do dos em no na nos nas um uma e com nao ao aos pela pelo que para se por mais menos ate foi sao seu sua depois disso deve segundo houve ha tem sem entre sob apos isso esta este pois de",
-    "it": "il lo gli della delle dei degli nel nella con che per di un una e non piu alla dal dalla sono come anche ma se la le i da si questo questa dopo prima tra fra",
-    "de": "der die das und ist im den von zu mit ein eine einer nicht auf fur als bei nach dem des wird sind werden oder auch wenn durch aus an am zum zur vor sich wurde kann",
+    "fr": "a afin apres au aux avant avec c car cas ce ces cet cette chez comme d dans de des donc du elle elles en ensuite entre est et faut il ils je jusqu l la le les leur lors mais meme moins n ne nous on ont ou par pas peut plus pour puis qu que quel quelle qui s sa sans se selon ses si son sont sous sur tout toutes un une vous",
+    "pt": "a ao aos antes apos as ate com como da das de deve depois do dos e ela ele em entre era essa esse esta este foi foram ha houve isso ja lhe mais mas menos muito na nao nas nem no nos num numa o os ou para pela pelas pelo pelos pois por preciso quais qual quando que quem sao se segundo seja sem ser seu si sob sobre sua tem um uma umas uns",
+    "it": "a ad ai al alla alle anche che chi ci come con cui da dal dalla dei del della delle di dopo e ed era fra gli ha hanno i il in la le lo ma meno nei nel nella nelle nello non nella o ogni per perche piu poi prima quale quando quanto questa questo se secondo si sono stata stato su sua sul sulla suo tra un una uno viene",
+    "de": "aber alle als also am an auch auf aus bei beim bis damit dann das dass dem den der des die diesem dieser doch durch ein eine einem einen einer eines er es fur gibt hat ich im in ist kann man mehr mit nach nicht noch nur ob oder ohne pro sein sich sie sind so uber um und unter vom von vor war wenn werden wie wird zu zum zur zwischen",
+}
+_LANGUAGES = tuple(LANGUAGE_WORDS)
+#: How much each word speaks for each language: the fewer languages share it, the more.
+_SPEAKS = {
+    w: (tuple(i for i, k in enumerate(_LANGUAGES) if w in LANGUAGE_WORDS[k].split()),)
+    for w in {w for words in LANGUAGE_WORDS.values() for w in words.split()}
 }
-_LANGUAGE_SETS = {k: frozenset(v.split()) for k, v in LANGUAGE_WORDS.items()}
-_SHARED = {w for w in set().union(*_LANGUAGE_SETS.values()) if sum(w in s for s in _LANGUAGE_SETS.values()) > 1}
+_SPEAKS = {w: (of, log(len(_LANGUAGES) / len(of)) + 0.3) for w, (of,) in _SPEAKS.items()}
+_MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u20d0-\u20ff\ufe20-\ufe2f]+")
 _TOKENS = re.compile("[a-z0-9]+")
 _TAGS = re.compile(r"</?[A-Za-z][^<>]{0,80}>|&[a-z]+;")
 _HIDDEN = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
 _NESTING = re.compile(r"```|<(/?)([A-Za-z][A-Za-z0-9]*)[^<>]*?(/?)>|[()\[\]{}«»“”]")
+_MARKED = re.compile(r"[`<()\[\]{}«»“”]")
 _PAIRS = {")": "(", "]": "[", "}": "{", "»": "«", "”": "“"}
 _VOID = frozenset(("br", "hr", "img", "input", "meta", "link"))
 _ENUMERATOR = re.compile(r"(?:^|[\s:;,.])(?:[a-zA-Z]|\d{1,2}|[ivx]{1,4})[).]$")
@@ -52,9 +68,7 @@ _PREFIX = re.compile(r"^(?:(?:respuesta|la pregunta es|pregunta|answer|the quest
 
 
 def normalised(text: str) -> str:
-    if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-    return text.lower()
+    return (text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", text))).lower()
 
 
 def tokens(text: str | None) -> list[str]:
@@ -76,7 +90,9 @@ def is_refusal(words: list[str]) -> bool:
     """Declines by the grammar opening* core, or with the core among the first words of the answer."""
     head = " ".join(words[:24])
     at = _OPENING.match(head).end()
-    return bool(_CORE.match(head, at)) or bool(at and _CORE.search(" ".join(words[:12]), 0))
+    if _CORE.match(head, at) or (at and _CORE.search(" ".join(words[:12]))):
+        return True
+    return len(words) <= 40 and bool(_ANYWHERE.search(" ".join(words)))
 
 
 def tiled(words: list[str], of: list[str], least: int = 2) -> int:
@@ -118,11 +134,28 @@ def copies(question: list[str], answer: list[str]) -> bool:
     return tiled(body, question) >= 0.85 * len(body) or (tiled(body, question, 1) >= 0.93 * len(body) and len(body) >= 8)
 
 
-def language(words: list[str]) -> str | None:
-    """The language whose own function words are clearly the most frequent, if they are frequent enough."""
-    score = sorted(((sum(w in s and w not in _SHARED for w in words), sum(w in s for w in words), k) for k, s in _LANGUAGE_SETS.items()), reverse=True)
-    (own, every, name), (second, _, _) = score[0], score[1]
-    return name if own >= 2 and own >= 2 * second + 1 and every >= 0.12 * len(words) else None
+def language_scores(words: list[str]) -> tuple[list[float], int]:
+    """How much the function words speak for each language, and how many there are."""
+    scores, hits = [0.0] * len(_LANGUAGES), 0
+    for w in words:
+        if (x := _SPEAKS.get(w)) is not None:
+            hits += 1
+            for i in x[0]:
+                scores[i] += x[1]
+    return scores, hits
+
+
+def other_language(asked: list[str], words: list[str], clear: float = 1.25) -> bool:
+    """The answer is clearly of one language, and the question clearly more of another than of that one."""
+    scores, hits = language_scores(words)
+    if hits < 3 or hits < 0.12 * len(words):
+        return False
+    best = max(scores)
+    i = scores.index(best)
+    if any(x * clear > best for j, x in enumerate(scores) if j != i):
+        return False
+    scores, hits = language_scores(asked)
+    return hits >= 3 and max(scores) >= clear * max(scores[i], 1e-9) and max(scores) > scores[i]
 
 
 def foreign_script(question: str, answer: str) -> bool:
@@ -163,7 +196,7 @@ def open_marks(text: str) -> tuple[int, bool]:
 def ending(text: str) -> str:
     """How a text ends by its marks: 'stop', 'broken' (a mark that more must follow, or something left open) or 'word'."""
     text = _HIDDEN.sub("", text).rstrip()
-    left, fence = open_marks(text)
+    left, fence = open_marks(text) if _MARKED.search(text) else (0, False)
     if fence or _ENUMERATOR.search(text[-6:]) and not re.search(r"\d\.$", text):
         return "broken"
     bare = text.rstrip("\"'»”)]}*_` \t")

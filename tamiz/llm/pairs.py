@@ -14,9 +14,11 @@ from tamiz.llm import answers
 from tamiz.llm.postings import bucket_of, folded
 from tamiz.llm.wordsets import mix, slices, words_in_order
 
-WORD_BITS, CONTEXT_BITS, ORDERS = 20, 21, 4
+WORD_BITS, CONTEXT_BITS, ORDERS = 20, 21, 6
 #: A context must have been met so often to be asked; below the share of sentence ends an answer without a final stop breaks off.
-LEAST_SEEN, LEAST_FINAL = 8, 0.2
+LEAST_SEEN, LEAST_FINAL = 8, 0.15
+#: Words in fewer of the texts stand for their class, as names and word fragments do.
+RARE_SHARE = 0.003
 _RARE, _NUMBER, _BEGIN = np.uint64(11), np.uint64(22), np.uint64(33)
 
 
@@ -52,7 +54,7 @@ def sentence_ends(rows: DataFrame, text: str) -> tuple[np.ndarray, float, np.nda
             np.add.at(own, (both & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64), 1)
 
     counts = folded(one, words, 1 << WORD_BITS, "uint32")
-    rare = max(4.0, 2e-4 * one.count())
+    rare = max(4.0, RARE_SHARE * one.count())
     shared = rows.sparkSession.sparkContext.broadcast((counts, rare))
     size = 1 << CONTEXT_BITS
 
@@ -77,8 +79,8 @@ def defects(rows: DataFrame, carry: list[str], question: str, answer: str) -> Da
     * ``copies_question``: greedy string tiling covers nearly all of the answer by the question;
     * ``other_language``: the function words (or the script) of both are clearly of different languages;
     * ``truncated``: marks show that more must follow (a pushdown parse leaves something open, or the text ends in a
-      hyphen, comma, colon, ellipsis or list mark), or there is no final stop and the last words, up to four, are
-      followed by a stop in less than a fifth of the sentences of all answers that hold them.
+      hyphen, comma, colon, ellipsis or list mark), or there is no final stop and the last words, up to six, are
+      followed by a stop in less than 15 % of the sentences of all answers that hold them.
     """
     table = sentence_ends(rows, answer)
     shared = rows.sparkSession.sparkContext.broadcast(table)
@@ -123,7 +125,7 @@ def judge(question: str | None, answer: str | None) -> tuple[str | None, bool]:
     asked = answers.tokens(question)
     if asked and answers.copies(asked, words):
         return "copies_question", False
-    if asked and (a := answers.language(words)) and (q := answers.language(asked)) and a != q:
+    if answers.other_language(asked, words):
         return "other_language", False
     if question and answers.foreign_script(question, answer):
         return "other_language", False
