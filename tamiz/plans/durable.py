@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -22,3 +23,13 @@ def durable(df: DataFrame) -> DataFrame:
     """``df`` computed once and read from the shared checkpoint folder from then on."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns``, each evaluated once a row however often later steps name it.
+
+    The optimizer folds a projection into those above it and pushes filters through it, which repeats costly
+    expressions; it does neither through a generator, and one of a single row costs nothing.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
