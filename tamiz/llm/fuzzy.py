@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.forest import components
-from tamiz.llm.postings import bucket_of, distinct_sets, document_counts, exchange, folded, partitions_for, verified
+from tamiz.llm.postings import bucket_of, distinct_sets, document_counts, exchange, folded, partitions_for, sketches, verified
 from tamiz.llm.wordsets import mix
 from tamiz.plans.durable import durable
 
@@ -143,11 +143,7 @@ def _emit(plan: Allocation, bitmap: np.ndarray | None):
             values.append(deleted.astype(np.uint8) + 2 * other.astype(np.uint8))
         table = np.zeros(len(keys), dtype=_DOC)
         table["key"], table["n"] = keys, np.diff(bounds)
-        one = np.left_shift(np.uint64(1), tokens & np.uint64(63))
-        high = (tokens & np.uint64(64)) != 0
-        if len(tokens):
-            table["s0"] = np.bitwise_xor.reduceat(np.where(high, np.uint64(0), one), bounds[:-1])
-            table["s1"] = np.bitwise_xor.reduceat(np.where(high, one, np.uint64(0)), bounds[:-1])
+        table["s0"], table["s1"] = sketches(bounds, tokens)
         return np.concatenate(sigs), np.concatenate(docs), np.concatenate(values), table
 
     return emit

@@ -3,8 +3,8 @@
 Each text is a vector of term weights with norm 1, its terms ordered from rare to common. Only the terms up to which
 the norm of the rest (the residual) still reaches the threshold are put into the inverted lists: a pair whose first
 common term comes later can't reach it. The bound is sharpened by the largest weight that a term has on the other
-side, and a list yields only pairs whose two residual norms multiply to the threshold. Candidates get exact dot
-products.
+side, and a list yields only pairs whose two residual norms multiply to the threshold. Where all terms weigh the same, a 128-bit sketch of each set must
+allow the threshold too. Candidates get exact dot products.
 """
 
 from __future__ import annotations
@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.postings import BUCKET_BITS, bucket_of, document_counts, exchange, folded, partitions_for, unpack, verified
+from tamiz.llm.postings import BUCKET_BITS, bucket_of, document_counts, exchange, folded, partitions_for, sketches, unpack, verified
 from tamiz.llm.wordsets import mix
 from tamiz.plans.durable import durable
 
-_DOC = np.dtype([("key", np.int64), ("side", np.uint8)])
+_DOC = np.dtype([("key", np.int64), ("side", np.uint8), ("n", np.int32), ("s0", np.uint64), ("s1", np.uint64)])
 _SCALE = float(1 << 28)
 
 
@@ -32,6 +32,8 @@ def _vectors(batch: pa.RecordBatch, counts: np.ndarray, idf: np.ndarray | None)
     docs = np.zeros(len(first), dtype=_DOC)
     docs["key"], docs["side"] = keys[first], side[first]
     bounds, tokens = unpack(batch.column("tokens"))
+    docs["n"] = np.diff(bounds)
+    docs["s0"], docs["s1"] = sketches(bounds, tokens)
     owner = np.repeat(np.arange(len(docs)), np.diff(bounds))
     bucket = bucket_of(tokens)
     order = np.lexsort((tokens, counts[bucket], owner))
@@ -89,7 +91,13 @@ def cosine_candidates(sets: DataFrame, threshold: float, weights: str = "unit")
             last = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + (1 << 21), side="right")))
             n = many[done:last]
             inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            yield doc[np.repeat(left[done:last], n)], doc[right[np.repeat(begin[done:last], n) + inside]]
+            a, b = doc[np.repeat(left[done:last], n)], doc[right[np.repeat(begin[done:last], n) + inside]]
+            if idf is None:  # equal weights: a cosine bounds the number of terms that differ, and a sketch bounds it from below
+                na, nb = docs["n"][a], docs["n"][b]
+                odd = np.bitwise_count(docs["s0"][a] ^ docs["s0"][b]) + np.bitwise_count(docs["s1"][a] ^ docs["s1"][b])
+                ok = odd <= na + nb - 2 * (threshold - 1e-6) * np.sqrt(na * nb)
+                a, b = a[ok], b[ok]
+            yield a, b
             done = last
 
     return exchange(rows, emit, reduce, _DOC, np.uint32, partitions_for(sets, total, 400_000), extra=("side",)).distinct()

@@ -71,6 +71,15 @@ def distinct_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.nda
     return keys, bounds, tokens
 
 
+def sketches(bounds: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parity of each set's tokens in 128 buckets, as two words: two sets differ in at least as many tokens as bits."""
+    if not len(tokens):
+        return np.zeros(len(bounds) - 1, np.uint64), np.zeros(len(bounds) - 1, np.uint64)
+    one, high = np.left_shift(np.uint64(1), tokens & np.uint64(63)), (tokens & np.uint64(64)) != 0
+    low, up = np.where(high, np.uint64(0), one), np.where(high, one, np.uint64(0))
+    return np.bitwise_xor.reduceat(low, bounds[:-1]), np.bitwise_xor.reduceat(up, bounds[:-1])
+
+
 def bucket_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(HASH_BITS - BUCKET_BITS)).astype(np.int64)
 
