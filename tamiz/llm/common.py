@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.plans.durable import durable
+from tamiz.operators.ordered import ranked
+
+__all__ = ["exact_medians", "ranked", "records", "source_of", "split_of", "table"]
 
 #: The spellings of each split, after trimming and lower-casing.
 SPLIT_SPELLINGS = {
@@ -48,30 +50,6 @@ def records(raw: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
-def ranked(df: DataFrame, groups: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """``df`` with its 1-based rank within ``groups`` in ``order`` (which must end in a unique column).
-
-    A group may hold any share of the rows: rows are range-partitioned over group *and* order, so a hot group is
-    spread over many tasks. Each task numbers its rows; a small table of the rows per task and group gives the offsets.
-    """
-    keys = [F.col(g).asc_nulls_first() for g in groups]
-    rows = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
-    rows = durable(rows.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
-    parts = rows.groupBy(*groups, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
-        F.col("_part").alias("_q"),
-        "_first",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
-    same = F.col("_part") == F.col("_q")
-    for i, g in enumerate(groups):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    rank = F.col("_at") - F.col("_first") + F.col("_before") + 1
-    return rows.join(parts, same).select(*df.columns, rank.alias(name))
-
-
 def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int = 1024) -> dict[str, float | None]:
     """The exact median of each numeric column (null values left out; null for a column without values).
 

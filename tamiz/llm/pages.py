@@ -6,15 +6,16 @@ import re
 import unicodedata
 from collections import Counter
 
-#: Function words of the languages that pages come in; keyword phrases have few of them.
+#: Function words of the languages that pages come in; keyword phrases have few of them. Words for 'more'
+#: are left out, since links say them.
 FUNCTION_WORDS = frozenset(
     """a al ante antes aquí aquel así aunque bajo cada como con contra cuando de del desde después donde durante e el ella ellas ellos en entre era
-    es esa ese eso esta este esto fue fueron ha han hasta la las le les lo los me mi más muy ni no nos o para pero por porque pues que qué se
+    es esa ese eso esta este esto fue fueron ha han hasta la las le les lo los me mi muy ni no nos o para pero por porque pues que qué se
     según ser si sin sobre son su sus también tan te todo todos tras tu un una unas uno unos y ya
-    about after all an and are as at be been before but by for from had has have he her his how if in into is it its more not of on or our she
+    about after all an and are as at be been before but by for from had has have he her his how if in into is it its not of on or our she
     than that the their them there these they this to was we were what when which who will with you your
-    au aux avec ce ces dans des donc du elle elles est et il ils je leur mais ne nous on ont ou par pas plus pour qu qui sa sont sur une vous
-    ao aos às com da das do dos em foi isso já mais mas na nas nem nos num numa o os ou pela pelo quando quem são seu sua um uma à é
+    au aux avec ce ces dans des donc du elle elles est et il ils je leur mais ne nous on ont ou par pas pour qu qui sa sont sur une vous
+    ao aos às com da das do dos em foi isso já mas na nas nem nos num numa o os ou pela pelo quando quem são seu sua um uma à é
     aber als am auch auf aus bei bis das dem den der die durch ein eine einer es für hat ich im ist mit nach nicht oder sich sie sind und von
     vor war wie wird zu zum zur
     alla che chi ci come dal dalla degli dei della delle di gli il i ma nel nella non per più sono suo tra""".split()

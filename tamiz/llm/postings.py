@@ -132,10 +132,12 @@ def exchange(sets: DataFrame, emit: Callable, reduce: Callable, doc_type: np.dty
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig, doc, value, docs = emit(batch)
+            if not len(sig):
+                continue
             part = ((sig >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)
             order = np.argsort(part.astype(np.uint32 if partitions > 1 << 16 else np.uint16), kind="stable")
             part, low, doc, value = part[order], sig[order].astype(np.uint32), doc[order], value[order]
-            cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+            cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
             rows: dict[str, list] = {"part": [], "sig": [], "doc": [], "value": [], "docs": []}
             for lo, hi in zip(cuts, [*cuts[1:], len(part)], strict=True):
                 used, place = np.unique(doc[lo:hi], return_inverse=True)
@@ -144,8 +146,7 @@ def exchange(sets: DataFrame, emit: Callable, reduce: Callable, doc_type: np.dty
                 rows["doc"].append(place.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes())
                 rows["value"].append(value[lo:hi].tobytes())
                 rows["docs"].append(docs[used].tobytes())
-            if rows["part"]:
-                yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "part" else pa.binary()) for k, v in rows.items()})
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "part" else pa.binary()) for k, v in rows.items()})
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, at, values, docs, n = [], [], [], [], 0
@@ -165,8 +166,8 @@ def exchange(sets: DataFrame, emit: Callable, reduce: Callable, doc_type: np.dty
         key = table["key"]
         for a, b in reduce(np.concatenate(sigs), doc, np.concatenate(values), table):
             lo, hi = np.minimum(key[a], key[b]), np.maximum(key[a], key[b])
-            pairs = np.unique(np.stack([lo, hi]), axis=1) if len(lo) < 2 else _unique_pairs(lo, hi)
-            if pairs.shape[1]:
+            if len(lo):
+                pairs = _unique_pairs(lo, hi)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
     sent = sets.mapInArrow(send, "part int, sig binary, doc binary, value binary, docs binary")
