@@ -116,14 +116,14 @@ def prompt_completion(messages: Column) -> Column:
 
 def asked_question(messages: Column) -> Column:
     """The last user message, after its first ``Pregunta:`` if it has one; '' without a user message."""
-    last = F.element_at(F.filter(messages, lambda m: m.role == "user"), -1).content
+    last = F.try_element_at(F.filter(messages, lambda m: m.role == "user"), F.lit(-1)).content
     text = tx.strip(F.coalesce(last, F.lit("")))
     at = F.locate("Pregunta:", text)
     return F.when(at > 0, tx.strip(F.substr(text, at + 9))).otherwise(text)
 
 
 def reference_answer(messages: Column) -> Column:
-    return tx.strip(F.coalesce(F.element_at(F.filter(messages, lambda m: m.role == "assistant"), -1).content, F.lit("")))
+    return tx.strip(F.coalesce(F.try_element_at(F.filter(messages, lambda m: m.role == "assistant"), F.lit(-1)).content, F.lit("")))
 
 
 def score_summary(rows: DataFrame, scores: Iterable[str], verdict: str | None = None) -> DataFrame:

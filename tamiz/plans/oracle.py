@@ -104,7 +104,7 @@ def score(n: str, w: str, r: str) -> str:
 
 def noise(line: str) -> str:
     p, n = plain(line), norm(line)
-    person = f"({has(line, tx.SURNAME)} AND {count(line, tx.NWS + '+')} > 5 AND NOT {any_of(n, lx.CLINICAL_TERMS)})"
+    person = f"({has(line, tx.SURNAME)} AND {count(line, tx.NWS + '+')} > 5 AND NOT {has(n, '|'.join(lx.CLINICAL_TERMS))})"
     tests = [has(line, x) for x in (tx.BROKEN_URL, tx.URL, tx.EMAIL, tx.DOI)] + [has(p, tx.PHONE), has(p, tx.ADMIN)]
     numbered = f"({has(line, '^ *[0-9]{1,3}' + chr(92) + '. +')} AND {has(p, tx.REFERENCE)})"
     return "(" + " OR ".join([among(n, lx.DROP_HEADINGS), *tests, numbered, person]) + ")"
