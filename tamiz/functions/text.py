@@ -74,6 +74,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once. Inside higher-order functions nothing else keeps an expression
+    that is named several times from being evaluated as often."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def plain(text: Column | str) -> Column:
     """Without accents and other marks; a null text is empty."""
     return F.translate(F.regexp_replace(F.coalesce(_col(text), F.lit("")), r"\p{M}+", ""), ACCENTED, UNACCENTED)
@@ -125,17 +131,19 @@ def estimate_tokens(text: Column | str) -> Column:
 
 def lines_of(text: Column | str) -> Column:
     """Lines as Python's splitlines() cuts them, but for an empty last one."""
-    out = F.split(F.coalesce(_col(text), F.lit("")), SPLIT_LINES)
-    return F.when(F.element_at(out, -1) == "", F.slice(out, F.lit(1), F.size(out) - 1)).otherwise(out)
+    cut = lambda x: F.when(F.element_at(x, -1) == "", F.slice(x, F.lit(1), F.size(x) - 1)).otherwise(x)
+    return let(F.split(F.coalesce(_col(text), F.lit("")), SPLIT_LINES), cut)
 
 
 def nonblank_lines(text: Column | str) -> Column:
-    return F.filter(F.transform(lines_of(text), strip), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(_col(text), F.lit("")), SPLIT_LINES), strip), lambda x: x != "")
 
 
 def any_of(text: Column, terms: Iterable[str]) -> Column:
-    """Whether one of the terms (of a-z, 0-9 and spaces) is a part of ``text``."""
-    return text.rlike("|".join(terms))
+    """Whether one of the terms is a part of ``text``; plain searches, which pass a text far faster than a pattern of
+    alternatives does."""
+    listed = F.array(*map(F.lit, terms))
+    return let(text, lambda t: F.exists(listed, lambda x: F.contains(t, x)))
 
 
 def is_noise(line: Column, bare: Column, normal: Column) -> Column:
@@ -165,18 +173,24 @@ def clean(text: Column | str) -> Column:
 
 def line_signature(line: Column) -> Column:
     """What makes two lines the same line; '' for lines too short or of digits only."""
-    normal = normalize(line)
-    return F.when((F.length(normal) < 4) | normal.rlike("^[0-9]+$"), "").otherwise(normal)
+    return let(normalize(line), lambda n: F.when((F.length(n) < 4) | n.rlike("^[0-9]+$"), "").otherwise(n))
 
 
 def is_heading(line: Column | str) -> Column:
-    bare = F.regexp_replace(_col(line), "^[ :-]+|[ :-]+$", "")
-    normal, words = normalize(bare), token_count(bare)
-    letters, small = F.regexp_count(bare, F.lit(r"\p{L}")), F.regexp_count(bare, F.lit(r"\p{Ll}"))
-    return (bare != "") & (F.length(bare) <= 110) & (words <= 14) & (
-        normal.isin(*lx.DROP_HEADINGS, *lx.INDEX_TERMS) | normal.rlike(r"^(capitulo|cap|tema|seccion|anexo)\b")
-        | (bare.rlike(SECTION_NUMBER) & (words <= 12)) | ((letters >= 6) & ((letters - small) >= letters * F.lit(0.72)))
-    )
+    def rule(x: Column) -> Column:
+        bare, normal, words = x.b, x.n, x.w
+        letters, small = F.regexp_count(bare, F.lit(r"\p{L}")), F.regexp_count(bare, F.lit(r"\p{Ll}"))
+        return (
+            normal.isin(*lx.DROP_HEADINGS, *lx.INDEX_TERMS) | normal.rlike(r"^(capitulo|cap|tema|seccion|anexo)\b")
+            | (bare.rlike(SECTION_NUMBER) & (words <= 12)) | ((letters >= 6) & ((letters - small) >= letters * F.lit(0.72)))
+        )
+
+    def short(bare: Column) -> Column:
+        words = token_count(bare)
+        fits = (bare != "") & (F.length(bare) <= 110) & (words <= 14)
+        return F.when(fits, let(F.struct(bare.alias("b"), normalize(bare).alias("n"), words.alias("w")), rule)).otherwise(F.lit(False))
+
+    return let(F.regexp_replace(_col(line), "^[ :-]+|[ :-]+$", ""), short)
 
 
 def first_heading(text: Column | str) -> Column:
@@ -187,8 +201,8 @@ def first_heading(text: Column | str) -> Column:
 
 def reference_ratio(text: Column | str) -> Column:
     """The share of non-blank lines that look like references; 0 without lines."""
-    lines = nonblank_lines(plain(text))
-    return F.coalesce(F.try_divide(F.size(F.filter(lines, lambda x: x.rlike(REFERENCE))).cast("double"), F.size(lines)), F.lit(0.0))
+    share = lambda ls: F.try_divide(F.size(F.filter(ls, lambda x: x.rlike(REFERENCE))).cast("double"), F.size(ls))
+    return F.coalesce(let(nonblank_lines(plain(text)), share), F.lit(0.0))
 
 
 def reference_markers(text: Column | str) -> Column:
@@ -259,10 +273,9 @@ def first_words(normal: Column, n: int = 240) -> Column:
 
 def detect_language(text: Column | str) -> Column:
     """es or en by marker words (ties: es), unknown without any."""
-    words = F.split(normalize(text), " ")
-    es = F.size(F.filter(words, lambda w: w.isin(*lx.SPANISH_MARKERS)))
-    en = F.size(F.filter(words, lambda w: w.isin(*lx.ENGLISH_MARKERS)))
-    return F.when((es == 0) & (en == 0), "unknown").when(es >= en, "es").otherwise("en")
+    hits = lambda words, of: F.size(F.filter(words, lambda w: w.isin(*of)))
+    counts = let(F.split(normalize(text), " "), lambda ws: F.struct(hits(ws, lx.SPANISH_MARKERS).alias("es"), hits(ws, lx.ENGLISH_MARKERS).alias("en")))
+    return let(counts, lambda c: F.when((c.es == 0) & (c.en == 0), "unknown").when(c.es >= c.en, "es").otherwise("en"))
 
 
 def looks_spanish(text: Column | str) -> Column:
@@ -273,8 +286,8 @@ def looks_spanish(text: Column | str) -> Column:
 
 def clinical_density(text: Column | str) -> Column:
     """Hits per word, not rounded; 0 without words."""
-    words = F.filter(F.split(normalize(text), " "), lambda w: w != "")
-    return F.coalesce(F.try_divide(F.size(F.filter(words, lambda w: w.isin(*lx.DENSITY_TERMS))).cast("double"), F.size(words)), F.lit(0.0))
+    share = lambda ws: F.try_divide(F.size(F.filter(ws, lambda w: w.isin(*lx.DENSITY_TERMS))).cast("double"), F.size(ws))
+    return F.coalesce(let(F.filter(F.split(normalize(text), " "), lambda w: w != ""), share), F.lit(0.0))
 
 
 def cascade(rules: Sequence[tuple[str, Column]], otherwise: Column | str | None = "") -> Column:

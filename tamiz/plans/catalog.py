@@ -11,7 +11,7 @@ from tamiz.functions import text as tx
 from tamiz.operators import chunks as ch
 from tamiz.operators import enrich, incremental, pages, qa, tables
 from tamiz.plans import oracle
-from tamiz.plans.durable import checkpoint_dir, durable, once
+from tamiz.plans.durable import checkpoint_dir, durable, once, spread
 from tamiz.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,7 +25,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "text", "lang", "source", "page")
+    return spread(table(spark, d, "documents").select("doc_id", "text", "lang", "source", "page"))
 
 
 def _records(spark: SparkSession, d: str, *columns: str) -> DataFrame:
@@ -170,25 +170,25 @@ def llm_json_parse(spark, d):
 # ---- chunks as they are given ----
 @query
 def enrich_chunks(spark, d):
-    out = enrich.enriched(table(spark, d, "chunks"), "text", "section")
+    out = enrich.enriched(spread(table(spark, d, "chunks")), "text", "section")
     return out.select("chunk_id", "section_type", "content_role", "language", "topic_count")
 
 
 @query
 def topic_tags(spark, d):
-    rows = table(spark, d, "chunks").select("chunk_id", tx.normalize("text").alias("n"))
+    rows = spread(table(spark, d, "chunks")).select("chunk_id", tx.normalize("text").alias("n"))
     return rows.select("chunk_id", F.explode(tx.topics(F.col("n"))).alias("topic"))
 
 
 @query
 def accepted_for_lm_reasons(spark, d):
-    rows = table(spark, d, "chunks")
+    rows = spread(table(spark, d, "chunks"))
     return rows.select("chunk_id", ch.reject_reason("text", F.col("token_estimate"), F.col("clinical_score")).alias("reason"))
 
 
 @query
 def accepted_histogram(spark, d):
-    rows = once(table(spark, d, "chunks"), reason=ch.reject_reason("text", F.col("token_estimate"), F.col("clinical_score")))
+    rows = once(spread(table(spark, d, "chunks")), reason=ch.reject_reason("text", F.col("token_estimate"), F.col("clinical_score")))
     return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 

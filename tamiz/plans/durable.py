@@ -33,3 +33,10 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     kept = [c for c in df.columns if c not in columns]
     return df.select(*kept, F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def spread(df: DataFrame, below: int = 256 << 20) -> DataFrame:
+    """``df`` over all cores if it is small: a small file often lies in one row group, which only one task can read, while
+    its texts are work for many. Larger inputs have splits enough and are left as they are, unshuffled."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < below else df
