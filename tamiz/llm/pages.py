@@ -37,6 +37,9 @@ _ABBREVIATION = re.compile(r"^\s*[A-ZÁÉÍÓÚÑ0-9]{2,12}\s*[:=–—-]\s")
 _ITEMS = re.compile(r"\s*(?:[,;·•|»›>]|\s[/\-–—]\s|\s{2,}|\t)\s*")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _LABEL = re.compile(r"^\s*[^\W\d_][^:]{0,28}:\s*")
+#: Letters whose case folds differently by themselves, in words and in patterns; texts with them are read in full.
+_FOLDING = re.compile("[\u0130\u0131\u017f\u212a\u03a3]")
+_LINK_SIGNS, _PRICE_SIGNS = ("www.", "index.php", ".htm", ".php", ".asp"), ("€", "$", "£", "eur", "usd")
 
 PROSE, STRUCTURE, SPAM, BARE = range(4)
 
@@ -107,6 +110,72 @@ def repeated_term(segments: list[list[str]]) -> tuple[str, ...] | None:
     return best
 
 
+def may_be_spam(text: str | None, share: float) -> bool:
+    """False only if ``spam_share(text)`` is at most ``share``; a bound by the same parts, cheap for prose.
+
+    A segment without links, tags, prices and hyphenated lists is spam or bare only if it has few function words; the
+    others' kinds are asked for. To these come the sentences that a repeated term could mark at most: ``repeated_term``
+    wants it 1.6 times in a sentence that holds it, on average, so some hold it twice and only so many hold it once.
+    """
+    if not text or text.isspace():
+        return False
+    text = unicodedata.normalize("NFC", text)
+    if _FOLDING.search(text):
+        return True
+    text = _HYPHENATED.sub("", _HIDDEN.sub("", text))
+    low = text.lower()
+    marked = "#" in low or "/" in low or any(x in low for x in _LINK_SIGNS) or any(x in low for x in _PRICE_SIGNS)
+    total = spam = 0.0
+    rest: list[tuple[int, list[str]]] = []
+    for line in _BREAKS.split(text):
+        if not line.strip():
+            continue
+        parts = [s for s in _SENTENCE.split(line) if s.strip()] if len(line) > 60 else [line]
+        words = [_WORD.findall(s.lower()) for s in parts]
+        known = [sum(map(FUNCTION_WORDS.__contains__, w)) for w in words]
+        if not _plain(line, sum(map(len, words)), sum(known), marked) and segment_kind(line) == SPAM:
+            total += len(line.strip())
+            spam += len(line.strip())
+            continue
+        for s, w, k in zip(parts, words, known, strict=True):
+            n = len(s.strip())
+            total += n
+            if not _plain(s, len(w), k, marked) and segment_kind(s) in (SPAM, BARE):
+                spam += n
+            else:
+                rest.append((n, w))
+    most = share * total
+    if spam > most:
+        return True
+    counts: Counter = Counter()
+    for _, words in rest:
+        counts.update(words)
+    terms = {w for w, c in counts.items() if c >= 4 and w not in FUNCTION_WORDS and not w.isdigit()}
+    held: dict[str, list[tuple[int, int]]] = {}
+    for n, words in rest:
+        for w in terms.intersection(words):
+            held.setdefault(w, []).append((words.count(w), n))
+    for each in held.values():
+        often = [(m, n) for m, n in each if m > 1]
+        once = int((sum(m for m, _ in often) - 1.6 * len(often)) / 0.6 + 1e-9)
+        if often and spam + sum(n for _, n in often) + sum(sorted((n for m, n in each if m == 1), reverse=True)[:once]) > most:
+            return True
+    return False
+
+
+def _plain(segment: str, words: int, known: int, marked: bool) -> bool:
+    """Whether a segment of so many words, so many of them function words, can be neither SPAM nor BARE."""
+    if not words:
+        return True
+    if marked or segment.count("-") >= 4:
+        low = segment.lower()
+        if "#" in low or segment.count("-") >= 4 or any(x in low for x in _PRICE_SIGNS):
+            return False
+        if ("/" in low or any(x in low for x in _LINK_SIGNS)) and _LINK.search(segment):
+            return False
+    return known >= 0.3 * words + 1e-9 or (known >= 0.27 * words + 1e-9 and (words > 12 or segment.rstrip()[-1:] in ".?!:"))
+
+
 def spam_share(text: str | None) -> float:
     """The share of a page's characters in keywords, links, product tags or sentences that repeat a term (0 to 1)."""
     if not text or text.isspace():

@@ -2,9 +2,10 @@
 
 A page's words, by falling frequency, follow a curve; its slope and residual (fitted with window functions over the
 page's frequency spectrum), and the divergence of its words from those of its language, are held against prose of the
-same language and comparable length. Pages extreme in one of the three, and pages too short for a curve, are
-suspects. A suspect's text is then read part by part, and the page is spam if more than half of it is keywords,
-links, product tags or sentences written only to repeat a term.
+same language and comparable length: ``suspects`` gives the pages extreme in one of the three, and those too short for
+a curve. That is a description of pages and no gate: some spam is no suspect, so ``spam_pages`` reads every page part by
+part, unless a bound by the same parts rules it out. A page is spam if more than half of it is keywords, links, product
+tags or sentences written only to repeat a term.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tamiz.llm.pages import FUNCTION_WORDS, spam_share
+from tamiz.llm.pages import FUNCTION_WORDS, may_be_spam, spam_share
 from tamiz.llm.postings import folded
-from tamiz.llm.wordsets import mix
 from tamiz.plans.durable import durable
 
 _WORDS = re.compile(r"[^\W_]+")
@@ -35,7 +36,6 @@ LANGUAGE_PAGES, LANGUAGES = 50, 64
 PROSE_SHARE = 0.22
 #: Robust deviations from which a page is extreme.
 EXTREME = 3.0
-_BITMAP = 24
 
 
 def profiles(pages: DataFrame, id_col: str, text: str, lang: str) -> DataFrame:
@@ -156,29 +156,15 @@ def suspects(profile: DataFrame) -> DataFrame:
 
 def spam_pages(pages: DataFrame, id_col: str, text: str, lang: str, share: float = 0.5) -> DataFrame:
     """(id, ``spam_share``) of the pages of which more than ``share`` is spam. Null, empty and blank texts are no spam;
-    a null language counts as ``unknown``; rows without an id are left out; copies are judged alike."""
-    profile = durable(profiles(pages.filter(F.col(id_col).isNotNull()), id_col, text, lang))
-    found = durable(suspects(profile.filter("n > 0")))
-    kind = pages.schema[id_col].dataType
-
-    def mark(own: np.ndarray, batch: pa.RecordBatch) -> None:
-        own[_slots(batch.column("doc").to_numpy(zero_copy_only=False))] = 1
-
-    # A bitmap of fixed size tells which texts to read again; the join afterwards removes those it let in by chance.
-    wanted = profile.sparkSession.sparkContext.broadcast(np.packbits(folded(found.select("doc"), mark, 1 << _BITMAP, "uint8", "bitwise_or")))
+    rows without an id are left out; copies are judged alike. Every page is decided by its text, whatever its curve:
+    it is read in full unless ``may_be_spam`` rules it out. ``lang`` isn't needed for that."""
+    rows = pages.filter(F.col(id_col).isNotNull()).select(F.col(id_col), F.col(text).cast("string").alias("_text"))
+    schema = T.StructType([rows.schema[id_col], T.StructField("spam_share", T.DoubleType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = _slots(batch.column(0).to_numpy(zero_copy_only=False))
-            batch = batch.filter(pa.array((wanted.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([spam_share(t) for t in batch.column(1).to_pylist()], pa.float64())], ["doc", "spam_share"])
-
-    texts = pages.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text).cast("string").alias("t"))
-    judged = texts.mapInArrow(read, "doc long, spam_share double").filter(F.col("spam_share") > share)
-    return judged.join(found.select("doc").distinct(), "doc", "left_semi").select(F.col("doc").cast(kind).alias(id_col), "spam_share")
-
-
-def _slots(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.view(np.uint64)) & np.uint64((1 << _BITMAP) - 1)).astype(np.int64)
-
+            shares = [spam_share(t) if may_be_spam(t, share) else 0.0 for t in batch.column(1).to_pylist()]
+            keep = pa.array([x > share for x in shares], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shares, pa.float64())], [id_col, "spam_share"]).filter(keep)
 
+    return rows.mapInArrow(read, schema)

@@ -156,6 +156,28 @@ def test_spam_pages(spark):
     assert spam.spam_pages(df.filter("false"), "doc_id", "text", "lang").count() == 0
 
 
+def test_spam_pages_need_no_extreme_curve(spark, monkeypatch):
+    """Spam is found even if no page at all is a suspect by its curve."""
+    monkeypatch.setattr(spam, "EXTREME", 1e9)
+    rng = random.Random(8)
+    common = ["la", "de", "que", "el", "en", "y", "las", "con", "se"]
+    vocabulary = [w for w in PROSE.split() if len(w) > 3]
+    prose = [" ".join(rng.choice(vocabulary + common * 2) for _ in range(90)) + "." for _ in range(80)]
+    tagged = PROSE * 2 + "\n" + " ".join(f"#CunaDeViajePlegableBarata{i}" for i in range(30))
+    df = spark.createDataFrame([*((i, t, "es") for i, t in enumerate(prose)), (100, tagged, "es")], "doc_id long, text string, lang string")
+    assert pages.spam_share(tagged) > 0.5
+    assert [r["doc_id"] for r in spam.spam_pages(df, "doc_id", "text", "lang").collect()] == [100]
+
+
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.8])
+def test_the_bound_loses_no_spam(share):
+    rng = random.Random(9)
+    lines = [x for t in [*SPAM.values(), *CLEAN.values()] for x in t.split("\n")] + [PROSE, "Cuna plegable y cuna plegable. Una cuna plegable.", "İstanbul, a, b, c", ""]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 9))) for _ in range(1500)]
+    assert all(pages.may_be_spam(t, share) for t in texts if pages.spam_share(t) > share)
+    assert not pages.may_be_spam(PROSE * 4, share) and not pages.may_be_spam(None, share)
+
+
 def test_curves_fit_the_line(spark):
     df = spark.createDataFrame([(1, [8, 4, 2, 1], [1, 1, 2, 4]), (2, [3], [5])], "uid long, freq array<int>, words array<int>")
     got = {r["uid"]: r for r in spam.curves(df).collect()}
