@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.llm import answers
-from tamiz.llm.postings import bucket_of, folded
-from tamiz.llm.wordsets import mix, slices, words_in_order
+from tamiz.llm.postings import folded
+from tamiz.llm.wordsets import HASH_BITS, mix, slices, words_in_order
+from tamiz.plans.durable import durable
 
-WORD_BITS, CONTEXT_BITS, ORDERS = 20, 21, 6
+ORDERS = 6
+#: Bits of the bitmap of contexts that are asked; it only keeps others out of the shuffle, never decides.
+ASKED_BITS = 27
 #: A context must have been met so often to be asked; below the share of sentence ends an answer without a final stop breaks off.
 LEAST_SEEN, LEAST_FINAL = 8, 0.15
 #: Words in fewer of the texts stand for their class, as names and word fragments do.
@@ -22,53 +25,77 @@ RARE_SHARE = 0.003
 _RARE, _NUMBER, _BEGIN = np.uint64(11), np.uint64(22), np.uint64(33)
 
 
-def _contexts(texts: list, counts: np.ndarray, rare: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every word the slots of its contexts of one to ORDERS words, its text, whether a stop follows and whether it
-    is its text's last. Rare words, numbers and sentence beginnings stand for their class."""
+def _contexts(texts: list, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every word its contexts of one to ORDERS words (64-bit hashes), its text, whether a stop follows and whether
+    it is its text's last. Words not in ``common``, numbers and sentence beginnings stand for their class."""
     owner, hashes, digit, stop = words_in_order(texts)
-    word = np.where(counts[bucket_of(hashes)] < rare, _RARE, hashes + np.uint64(64))
+    place = np.searchsorted(common, hashes)
+    kept = (common[np.minimum(place, len(common) - 1)] == hashes) if len(common) else np.zeros(len(hashes), bool)
+    word = np.where(kept, hashes + np.uint64(64), _RARE)
     word[digit] = _NUMBER
     last = np.append(owner[1:] != owner[:-1], True) if len(owner) else np.zeros(0, bool)
     begins = np.append(True, (owner[1:] != owner[:-1]) | stop[:-1]) if len(owner) else np.zeros(0, bool)
     place = np.arange(len(word)) - np.maximum.accumulate(np.where(begins, np.arange(len(word)), 0))
-    slots = np.zeros((ORDERS, len(word)), dtype=np.int64)
+    contexts = np.zeros((ORDERS, len(word)), dtype=np.uint64)
     key = np.zeros(len(word), dtype=np.uint64)
     for k in range(ORDERS):
         before = np.full(len(word), _BEGIN)
         before[k:] = np.where(place[k:] >= k, word[: len(word) - k] if k else word, _BEGIN)
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + before + np.uint64(k + 1))
-        slots[k] = (key & np.uint64((1 << CONTEXT_BITS) - 1)).astype(np.int64)
-    return slots, owner, stop, last
+        contexts[k] = key
+    return contexts, owner, stop, last
 
 
-def sentence_ends(rows: DataFrame, text: str) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
-    """What words stand at sentence ends, counted over all texts: how many texts hold each word, from when a word is
-    rare, and how often each context was met and how often a stop followed. Tables of fixed size, by hash."""
+def common_words(rows: DataFrame, text: str) -> np.ndarray:
+    """The hashes, ascending, of the words that enough of the texts hold not to be rare. They are counted exactly; as each
+    is in RARE_SHARE of the texts (or the texts are few), there are at most words per text / RARE_SHARE of them."""
     one = rows.select(F.col(text).cast("string").alias("t"))
 
-    def words(own: np.ndarray, batch: pa.RecordBatch) -> None:
-        texts = batch.column(0).to_pylist()
-        for lo, hi in slices(texts):
-            owner, hashes, *_ = words_in_order(texts[lo:hi])
-            both = np.unique((owner.astype(np.uint64) << np.uint64(WORD_BITS)) | bucket_of(hashes).astype(np.uint64))
-            np.add.at(own, (both & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64), 1)
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for lo, hi in slices(texts):
+                owner, hashes, *_ = words_in_order(texts[lo:hi])
+                both = np.unique((owner.astype(np.uint64) << np.uint64(HASH_BITS)) | hashes)
+                word, n = np.unique(both & np.uint64((1 << HASH_BITS) - 1), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
-    counts = folded(one, words, 1 << WORD_BITS, "uint32")
     rare = max(4.0, RARE_SHARE * one.count())
-    shared = rows.sparkSession.sparkContext.broadcast((counts, rare))
-    size = 1 << CONTEXT_BITS
+    counts = one.mapInArrow(words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return np.sort(np.array([r["word"] for r in counts.filter(F.col("n") >= rare).select("word").collect()], dtype=np.uint64))
+
+
+def _asked(contexts: np.ndarray) -> np.ndarray:
+    return (contexts & np.uint64((1 << ASKED_BITS) - 1)).astype(np.int64)
+
 
-    def ends(own: np.ndarray, batch: pa.RecordBatch) -> None:
-        texts = batch.column(0).to_pylist()
-        for lo, hi in slices(texts):
-            slots, _, stop, last = _contexts(texts[lo:hi], *shared.value)
-            known = ~last | stop
-            for k in range(ORDERS):
-                own[:size] += np.bincount(slots[k][known], minlength=size).astype(np.uint32)
-                own[size:] += np.bincount(slots[k][known & stop], minlength=size).astype(np.uint32)
+def sentence_ends(rows: DataFrame, text: str, common: np.ndarray, asked: DataFrame) -> DataFrame:
+    """(``context``, ``met``, ``final``): how often each context that may be ``asked`` (a column ``context``) was met in all
+    texts, and how often a stop followed. Counted exactly, by the contexts' 64 bits."""
+
+    def mark(own: np.ndarray, batch: pa.RecordBatch) -> None:
+        at = _asked(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        np.bitwise_or.at(own, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+
+    bitmap = folded(asked.select("context"), mark, 1 << (ASKED_BITS - 3), "uint8", "bitwise_or")
+    shared = rows.sparkSession.sparkContext.broadcast((common, bitmap))
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, bitmap = shared.value
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for lo, hi in slices(texts):
+                contexts, _, stop, last = _contexts(texts[lo:hi], common)
+                known = ~last | stop
+                every, final = contexts[:, known].reshape(-1), np.tile(stop[known], ORDERS)
+                at = _asked(every)
+                hit = (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+                context, place = np.unique(every[hit], return_inverse=True)
+                met, final = (np.bincount(place, w, len(context)).astype(np.int64) for w in (None, final[hit]))
+                yield pa.RecordBatch.from_arrays([pa.array(context.view(np.int64)), pa.array(met), pa.array(final)], ["context", "met", "final"])
 
-    both = folded(one, ends, 2 * size, "uint32")
-    return counts, rare, both[:size], both[size:]
+    counts = rows.select(F.col(text).cast("string").alias("t")).mapInArrow(ends, "context long, met long, final long")
+    return counts.groupBy("context").agg(F.sum("met").alias("met"), F.sum("final").alias("final"))
 
 
 def defects(rows: DataFrame, carry: list[str], question: str, answer: str) -> DataFrame:
@@ -82,13 +109,13 @@ def defects(rows: DataFrame, carry: list[str], question: str, answer: str) -> Da
       hyphen, comma, colon, ellipsis or list mark), or there is no final stop and the last words, up to six, are
       followed by a stop in less than 15 % of the sentences of all answers that hold them.
     """
-    table = sentence_ends(rows, answer)
-    shared = rows.sparkSession.sparkContext.broadcast(table)
-    rows = rows.select(*carry, F.col(question).cast("string").alias("_q"), F.col(answer).cast("string").alias("_a"))
-    schema = T.StructType([*(rows.schema[c] for c in carry), T.StructField("defect", T.StringType())])
+    common = common_words(rows, answer)
+    shared = rows.sparkSession.sparkContext.broadcast(common)
+    pairs = rows.select(*carry, F.col(question).cast("string").alias("_q"), F.col(answer).cast("string").alias("_a"))
+    own = [T.StructField("defect", T.StringType()), T.StructField("_contexts", T.ArrayType(T.LongType()))]
+    schema = T.StructType([*(pairs.schema[c] for c in carry), *own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, rare, met, final = shared.value
         for batch in batches:
             out: list = []
             open_: list[tuple[int, str]] = []
@@ -97,22 +124,25 @@ def defects(rows: DataFrame, carry: list[str], question: str, answer: str) -> Da
                 if undecided:
                     open_.append((len(out), a))
                 out.append(defect)
+            asked: list = [None] * len(out)
             texts = [answers._HIDDEN.sub("", t) for _, t in open_]
             for lo, hi in slices(texts):
-                slots, owner, _, last = _contexts(texts[lo:hi], counts, rare)
+                contexts, owner, _, last = _contexts(texts[lo:hi], shared.value)
                 at = np.flatnonzero(last)
-                share, decided = np.ones(len(at)), np.zeros(len(at), bool)
-                for k in reversed(range(ORDERS)):
-                    slot = slots[k][at]
-                    use = ~decided & (met[slot] >= LEAST_SEEN)
-                    share[use] = final[slot][use] / met[slot][use]
-                    decided |= use
-                for i, s in zip(owner[at], share, strict=True):
-                    if s < LEAST_FINAL:
-                        out[open_[lo + int(i)][0]] = "truncated"
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(carry))), pa.array(out, pa.string())], [*carry, "defect"])
-
-    return rows.mapInArrow(run, schema)
+                for i, each in zip(owner[at], contexts[:, at].view(np.int64).T.tolist(), strict=True):
+                    asked[open_[lo + int(i)][0]] = each
+            arrays = [*(batch.column(i) for i in range(len(carry))), pa.array(out, pa.string()), pa.array(asked, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, [*carry, "defect", "_contexts"])
+
+    judged = durable(pairs.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()))
+    undecided = judged.filter(F.col("_contexts").isNotNull())
+    asked = undecided.select("_row", F.posexplode("_contexts").alias("order", "context"))
+    # The longest context that was met often enough decides; if none was, the answer counts as complete.
+    ends = sentence_ends(rows, answer, common, asked).filter(F.col("met") >= LEAST_SEEN)
+    share = asked.join(ends, "context").groupBy("_row").agg(F.max_by(F.col("final") / F.col("met"), "order").alias("share"))
+    broken = share.filter(F.col("share") < LEAST_FINAL).select("_row", F.lit("truncated").alias("_broken"))
+    settled = judged.filter(F.col("_contexts").isNull()).select(*carry, "defect")
+    return settled.unionByName(undecided.join(broken, "_row", "left").select(*carry, F.col("_broken").alias("defect")))
 
 
 def judge(question: str | None, answer: str | None) -> tuple[str | None, bool]:

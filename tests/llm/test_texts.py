@@ -114,6 +114,17 @@ def test_unfinished_sentences_by_what_others_end_in(spark):
     assert pairs.defects(df.filter("false"), ["i"], "q", "a").count() == 0
 
 
+def test_contexts_are_counted_exactly(spark):
+    """Some 3 million different contexts, more than any table of 2^21 slots tells apart, stand before no stop: an answer
+    whose last words are new to all orders but the first is judged by that one, a word that mostly ends sentences."""
+    rng = random.Random(12)
+    words = [f"p{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+    rows = [(i, "¿Qué?", " ".join(rng.choice(words) for _ in range(150)) + " fin.") for i in range(5000)]
+    rows += [(10000 + i, "¿Qué?", " ".join([*(rng.choice(words) for _ in range(9)), "fin"])) for i in range(200)]
+    df = spark.createDataFrame(rows, "i long, q string, a string").repartition(4)
+    assert pairs.defects(df, ["i"], "q", "a").filter("i >= 10000 and defect is not null").count() == 0
+
+
 PROSE = "La administración del fármaco se asoció con menor riesgo en las pacientes que recibieron la dosis completa durante el embarazo, aunque la diferencia fue pequeña. "
 SPAM = {
     "keywords": "pañales barato, carrito de bebé oferta, cuna de viaje precio, faja posparto comprar, lactancia online, " * 6,
