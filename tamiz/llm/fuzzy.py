@@ -71,12 +71,13 @@ def _budgets(plan: Allocation, bounds: np.ndarray, kinds: np.ndarray) -> np.ndar
     return plan.slack * np.diff(bounds) - (rare[bounds[1:]] - rare[bounds[:-1]])
 
 
-def choose_bands(histogram: np.ndarray) -> tuple[int, ...]:
-    """Upper ends of the budget bands: the first holds nine tenths of the sets, the next grow by half up to the largest budget."""
+def choose_bands(histogram: np.ndarray, largest: int = 0) -> tuple[int, ...]:
+    """Upper ends of the budget bands: the first holds nine tenths of the sets, the next grow by half until they end above
+    the largest budget, which the histogram's last bucket may hide: every set owns a band."""
     if not histogram.sum():
         return (1,)
     share = np.cumsum(histogram) / histogram.sum()
-    most = int(np.flatnonzero(histogram).max()) + 1
+    most = max(int(np.flatnonzero(histogram).max()), largest) + 1
     bands = [min(most, max(1, int(np.searchsorted(share, 0.9)) + 1))]
     while bands[-1] < most:
         bands.append(min(most, max(bands[-1] + 1, int(bands[-1] * 1.5))))
@@ -128,7 +129,9 @@ def _emit(plan: Allocation, bitmap: np.ndarray | None):
         middling = kinds == 2
         mo, mt = owner[middling], tokens[middling]
         for k, top in enumerate(plan.bands):
-            chosen = (band <= k) & (budget + top >= 0)
+            # A partner that owns the band has budget enough for it, thus so many words, and this set not far fewer.
+            near = plan.slack * np.diff(bounds) >= plan.threshold * (plan.bands[k - 1] if k else 0) - 1e-9
+            chosen = (band <= k) & (budget + top >= 0) & near
             at, o, t = _some(chosen, mo, mt)
             if not len(at):
                 continue
@@ -208,7 +211,13 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
         budget = _read(shared.value, batch)[5]
         own += np.bincount(np.clip(budget, 0, _BUDGETS - 1).astype(np.int64), minlength=_BUDGETS)
 
-    plan = Allocation(threshold, plan.kinds, choose_bands(folded(sets.select("key", "tokens"), histogram, _BUDGETS, "int64")))
+    def most(own: np.ndarray, batch: pa.RecordBatch) -> None:
+        np.maximum.at(own, 0, _read(shared.value, batch)[5].max(initial=0).astype(np.int64))
+
+    budgets = folded(sets.select("key", "tokens"), histogram, _BUDGETS, "int64")
+    # The last bucket holds all the larger budgets too; only then is it asked how large they are.
+    largest = int(folded(sets.select("key", "tokens"), most, 64, "int64", "maximum")[0]) if budgets[-1] else 0
+    plan = Allocation(threshold, plan.kinds, choose_bands(budgets, largest))
     shared, bitmap = sc.broadcast(plan), None
     if len(plan.bands) > 1:
 

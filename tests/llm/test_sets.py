@@ -88,6 +88,21 @@ def test_any_allocation_finds_the_same(spark, monkeypatch, pairs):
     assert {(r["a"], r["b"]) for r in fuzzy.similar_sets(sets, 0.7).collect()} == wanted
 
 
+def test_sets_of_any_budget_keep_their_links(spark, monkeypatch):
+    """Long texts with no rare word, whose budgets (over 5,000) are above the histogram's last bucket, beside short ones."""
+    kinds = fuzzy.word_kinds
+    monkeypatch.setattr(fuzzy, "word_kinds", lambda counts, n: kinds(counts, n, 0.0, 1e9))
+    rng = random.Random(13)
+    base = [f"w{i}" for i in range(34000)]
+    texts = [" ".join(base), *(" ".join(w for w in base if rng.random() > 0.07) for _ in range(3)), *corpus(14, 60)]
+    sets = postings.word_set_table(spark.createDataFrame(list(enumerate(texts)), "i long, t string").repartition(2), ["i"], ["t"]).persist()
+    by_key = {r["key"]: set(words(texts[r["i"]])) for r in sets.collect()}
+    wanted = {(a, b) for a in by_key for b in by_key if a < b and jaccard(by_key[a], by_key[b]) >= 0.7 - 1e-9}
+    assert sum(len(by_key[a]) > 30000 for a, _ in wanted) == 6
+    assert {(r["a"], r["b"]) for r in fuzzy.similar_sets(sets, 0.7).collect()} == wanted
+    assert fuzzy.choose_bands(np.array([1, 0, 1]), 5000)[-1] == 5001
+
+
 def test_groups_join_copies_and_chains(spark):
     base = [f"w{i}" for i in range(20)]
     rows = [("a", 1, " ".join(base)), ("b", 2, " ".join(base[2:] + ["x", "y"])), ("c", 3, " ".join(base[4:] + ["x", "y", "z", "u"])), ("d", 4, "solo"), ("e", 5, "SOLO"), ("f", 6, None), ("g", 7, ""), ("a", 9, "otra cosa"), (None, 8, "solo")]
