@@ -8,10 +8,16 @@ segments: with ``2m`` more than that, some segment differs in one word at most,
 with one word deleted, is the same on both sides. Sets are signed by these contents and one-deletion neighbourhoods.
 
 The budget of a set is what the bound leaves it after its own rare words; ``m`` depends on the larger budget of a
-pair, so sets are signed for the band of their own budget and for the higher bands. The frequency at which a word
+pair, so sets are signed for the band of their own budget and for the higher bands. A set of budget ``b`` in a band of
+``m`` needs only the first ``floor((b + m) / 2) + 1`` segments: all differences of a pair number less than that many
+twos, so that one of the segments that both have indexed differs in one word at most. The frequency at which a word
 counts as rare, the bands and the share of common words left out are allocated by costs counted over all sets.
 Candidates pass the bound on sizes and on the parity of a 128-bit sketch (both necessary conditions) and are then
 verified exactly.
+
+A set's record (key, size, sketch) travels once to each task that one of its signatures goes to. So that these are
+few, a segment's signatures go where the rarest word of their contents leads, which is one place for the whole
+content and all deletions but one; equal contents have the same rarest word.
 """
 
 from __future__ import annotations
@@ -29,18 +35,25 @@ from tamiz.llm.postings import bucket_of, distinct_sets, document_counts, exchan
 from tamiz.llm.wordsets import mix
 from tamiz.plans.durable import durable
 
-#: Bits of the bitmap of signatures of the sparsely populated higher bands; fixed, whatever the data.
-BITMAP_BITS = 25
+#: Bits of the bitmap of signatures of the sparsely populated higher bands. It spares postings and decides nothing: where
+#: it is full, every set of a higher band's reach sends all its postings for it.
+BITMAP_BITS = 27
+#: Share of the sets that the first band holds at least.
+FIRST_BAND = 0.975
+#: Sets whose postings one task may hold (about 140 postings a set at most, 60 bytes each while they are sorted).
+TASK_SETS = 50_000
 _BUDGETS = 4096
 _DOC = np.dtype([("key", np.int64), ("n", np.int32), ("s0", np.uint64), ("s1", np.uint64)])
 
 
 @dataclass(frozen=True)
 class Allocation:
-    """How words are classed and sets are signed. ``kinds`` by bucket of words: 0 in one set only, 1 rare, 2 middling, 3 left out."""
+    """How words are classed and sets are signed. ``kinds`` by bucket of words: 0 in one set only, 1 rare, 2 middling, 3 left out;
+    ``rarity`` by bucket: the logarithm of the number of sets, in quarters of a power of two."""
 
     threshold: float
     kinds: np.ndarray
+    rarity: np.ndarray
     bands: tuple[int, ...] = ()
 
     @property
@@ -72,35 +85,52 @@ def _budgets(plan: Allocation, bounds: np.ndarray, kinds: np.ndarray) -> np.ndar
 
 
 def choose_bands(histogram: np.ndarray, largest: int = 0) -> tuple[int, ...]:
-    """Upper ends of the budget bands: the first holds nine tenths of the sets, the next grow by half until they end above
+    """Upper ends of the budget bands: the first holds FIRST_BAND of the sets, the next end at twice the one before until they end above
     the largest budget, which the histogram's last bucket may hide: every set owns a band."""
     if not histogram.sum():
         return (1,)
     share = np.cumsum(histogram) / histogram.sum()
     most = max(int(np.flatnonzero(histogram).max()), largest) + 1
-    bands = [min(most, max(1, int(np.searchsorted(share, 0.9)) + 1))]
+    bands = [min(most, max(1, int(np.searchsorted(share, FIRST_BAND)) + 1))]
     while bands[-1] < most:
-        bands.append(min(most, max(bands[-1] + 1, int(bands[-1] * 1.5))))
+        bands.append(min(most, 2 * bands[-1]))
     return tuple(bands)
 
 
-def _segments(plan: Allocation, band: int, owner: np.ndarray, tokens: np.ndarray, sets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures, set numbers and deletion flags of sets in a band; ``owner`` and ``tokens`` are their middling words."""
-    m = plan.bands[band]
-    place = (mix(tokens + np.uint64(7919 * (band + 1))) >> np.uint64(33)) % np.uint64(m)
-    cell = owner * m + place.astype(np.int64)
+def _segments(plan: Allocation, band: int, budget: np.ndarray, owner: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures, their destinations (hashes), set numbers and deletion flags of sets in a band, given the sets' budgets;
+    ``owner`` and ``tokens`` are their middling words."""
+    m, sets = plan.bands[band], len(budget)
+    wanted = np.minimum(np.floor((budget + m) / 2).astype(np.int64) + 1, m)
+    place = ((mix(tokens + np.uint64(7919 * (band + 1))) >> np.uint64(33)) % np.uint64(m)).astype(np.int64)
+    use = place < wanted[owner]
+    owner, tokens, place = owner[use], tokens[use], place[use]
+    base = np.append(0, np.cumsum(wanted))
+    cell = base[owner] + place
+    # Within a cell the rarest word comes first, of equally rare ones that of the lowest hash.
+    order = np.lexsort((tokens, plan.rarity[bucket_of(tokens)], cell))
+    owner, tokens, place, cell = owner[order], tokens[order], place[order], cell[order]
     value = mix(tokens ^ np.uint64(0x6A09E667F3BCC909))
-    order = np.argsort(cell, kind="stable")
-    content = np.zeros(sets * m, dtype=np.uint64)
-    if len(cell):
-        starts = np.flatnonzero(np.append(True, np.diff(cell[order]) != 0))
-        content[cell[order][starts]] = np.add.reduceat(value[order], starts)
     salt = mix(np.arange(m, dtype=np.uint64) + np.uint64(1000003 * (band + 1)))
-    whole = mix(content ^ np.tile(salt, sets))
-    without = mix((content[cell] - value) ^ salt[place.astype(np.int64)])
-    sig = np.concatenate([whole, without])
-    doc = np.concatenate([np.repeat(np.arange(sets), m), owner])
-    return sig, doc, np.concatenate([np.zeros(sets * m, bool), np.ones(len(owner), bool)])
+    seg = np.arange(base[-1]) - np.repeat(base[:-1], wanted)
+    content, to = np.zeros(base[-1], dtype=np.uint64), salt[seg]
+    first = np.append(True, cell[1:] != cell[:-1]) if len(cell) else np.zeros(0, bool)
+    to_deleted = np.zeros(0, np.uint64)
+    if len(cell):
+        at = np.flatnonzero(first)
+        content[cell[at]] = np.add.reduceat(value, at)
+        leads = mix(value ^ salt[place])
+        to[cell[at]] = leads[at]
+        # Without its rarest word a content goes where the second leads, if there is one.
+        second = np.minimum(at + 1, len(cell) - 1)
+        alone = (second == at) | (cell[second] != cell[at])
+        to_deleted = to[cell]
+        to_deleted[at] = np.where(alone, salt[place[at]], leads[second])
+    whole = mix(content ^ salt[seg])
+    without = mix((content[cell] - value) ^ salt[place])
+    doc = np.concatenate([np.repeat(np.arange(sets), wanted), owner])
+    deleted = np.concatenate([np.zeros(len(whole), bool), np.ones(len(owner), bool)])
+    return np.concatenate([whole, without]), np.concatenate([to, to_deleted]), doc, deleted
 
 
 def _read(plan: Allocation, batch: pa.RecordBatch) -> tuple:
@@ -126,6 +156,7 @@ def _emit(plan: Allocation, bitmap: np.ndarray | None):
         keys, bounds, tokens, owner, kinds, budget, band = _read(plan, batch)
         rare = kinds == 1
         sigs, docs, values = [mix(tokens[rare] ^ np.uint64(0xBB67AE8584CAA73B))], [owner[rare]], [np.zeros(rare.sum(), np.uint8)]
+        places = [sigs[0]]
         middling = kinds == 2
         mo, mt = owner[middling], tokens[middling]
         for k, top in enumerate(plan.bands):
@@ -135,19 +166,20 @@ def _emit(plan: Allocation, bitmap: np.ndarray | None):
             at, o, t = _some(chosen, mo, mt)
             if not len(at):
                 continue
-            sig, doc, deleted = _segments(plan, k, o, t, len(at))
+            sig, to, doc, deleted = _segments(plan, k, budget[at], o, t)
             doc = at[doc]
             other = band[doc] < k
             if k and bitmap is not None:
                 hit = _bits(bitmap, sig)
-                sig, doc, deleted, other = (x[hit | ~other] for x in (sig, doc, deleted, other))
+                sig, to, doc, deleted, other = (x[hit | ~other] for x in (sig, to, doc, deleted, other))
             sigs.append(sig)
+            places.append(to)
             docs.append(doc)
             values.append(deleted.astype(np.uint8) + 2 * other.astype(np.uint8))
         table = np.zeros(len(keys), dtype=_DOC)
         table["key"], table["n"] = keys, np.diff(bounds)
         table["s0"], table["s1"] = sketches(bounds, tokens)
-        return np.concatenate(sigs), np.concatenate(docs), np.concatenate(values), table
+        return np.concatenate(sigs), np.concatenate(places), np.concatenate(docs), np.concatenate(values), table
 
     return emit
 
@@ -159,39 +191,48 @@ def _bits(bitmap: np.ndarray, sig: np.ndarray) -> np.ndarray:
 
 def _reduce(plan: Allocation):
     """Pairs within each signature that pass the bounds; a pair needs one whole content and, above the first band, one
-    set that owns the band. Groups of any size are walked in vectors of one pair a posting, so memory stays flat."""
+    set that owns the band. Within a signature postings lie in the order: owners' whole contents, owners' deletions,
+    others' whole contents, others' deletions. The first meet all that come after, the second the third alone. Groups of
+    any size are walked in vectors of one pair a posting, so memory stays flat."""
 
     def reduce(sig: np.ndarray, doc: np.ndarray, value: np.ndarray, docs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if len(docs) >= 1 << 30:
             raise ValueError("too many sets in one partition: raise spark.sql.shuffle.partitions")
-        word = (sig.astype(np.uint64) << np.uint64(32)) | ((value >> 1).astype(np.uint64) << np.uint64(31))
-        word |= (doc.astype(np.uint64) << np.uint64(1)) | (value & 1).astype(np.uint64)
+        # A value is 1 for a deletion, and 2 more for a set that doesn't own the band.
+        word = (sig.astype(np.uint64) << np.uint64(32)) | (value.astype(np.uint64) << np.uint64(30)) | doc.astype(np.uint64)
         word = np.sort(word)
-        sig = (word >> np.uint64(32)).astype(np.uint32)
-        ends = np.flatnonzero(np.append(sig[1:] != sig[:-1], True))
-        end = np.repeat(ends, np.diff(np.append(-1, ends)))
-        other, deleted = (word >> np.uint64(31) & np.uint64(1)).astype(bool), (word & np.uint64(1)).astype(bool)
-        doc = ((word >> np.uint64(1)) & np.uint64((1 << 30) - 1)).astype(np.int64)
+        doc = (word & np.uint64((1 << 30) - 1)).astype(np.int64)
+        kind = (word >> np.uint64(30)).astype(np.uint64)  # signature and value
+        ends = np.flatnonzero(np.append(kind[1:] >> np.uint64(2) != kind[:-1] >> np.uint64(2), True))
+        last = np.repeat(ends, np.diff(np.append(-1, ends)))
+        place = np.arange(len(kind))
         # By posting, so that the pairs of one step read neighbouring memory.
         n, s0, s1 = docs["n"][doc], docs["s0"][doc], docs["s1"][doc]
         most = (plan.slack * np.arange(2 * int(n.max(initial=0)) + 1) + 1e-9).astype(np.int32)
-        active, step, got, size = np.flatnonzero(~other & (end > np.arange(len(end)))), 1, [], 0
-        while len(active):
-            i, j = active, active + step
-            odd = np.bitwise_count(s0[i] ^ s0[j]) + np.bitwise_count(s1[i] ^ s1[j])
-            ok = np.flatnonzero(odd <= most[n[i] + n[j]])
-            i, j = i[ok], j[ok]
-            low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-            ok = (doc[i] != doc[j]) & ~(deleted[i] & deleted[j]) & (low >= plan.threshold * high - 1e-9)
-            a, b = doc[i], doc[j]
-            if ok.any():
-                got.append((a[ok], b[ok]))
-                size += int(ok.sum())
-            if size > 1 << 20:
-                yield np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
-                got, size = [], 0
-            step += 1
-            active = active[end[active] - active >= step]
+        own = kind & np.uint64(3)
+        whole = np.flatnonzero((own == 0) & (last > place))
+        deleted = np.flatnonzero(own == 1)
+        others = np.searchsorted(kind, (kind[deleted] | np.uint64(3)) - np.uint64(1))  # the first of the others' whole contents
+        until = np.searchsorted(kind, kind[deleted] | np.uint64(3)) - 1
+        got, size = [], 0
+        for active, begin, end in ((whole, whole + 1, last[whole]), (deleted, others, until)):
+            keep = begin <= end
+            active, j, end = active[keep], begin[keep], end[keep]
+            while len(active):
+                odd = np.bitwise_count(s0[active] ^ s0[j]) + np.bitwise_count(s1[active] ^ s1[j])
+                ok = np.flatnonzero(odd <= most[n[active] + n[j]])
+                a, b = doc[active[ok]], doc[j[ok]]
+                na, nb = n[active[ok]], n[j[ok]]
+                ok = (a != b) & (np.minimum(na, nb) >= plan.threshold * np.maximum(na, nb) - 1e-9)
+                if ok.any():
+                    got.append((a[ok], b[ok]))
+                    size += int(ok.sum())
+                if size > 1 << 20:
+                    yield np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
+                    got, size = [], 0
+                j = j + 1
+                more = j <= end
+                active, j, end = active[more], j[more], end[more]
         if got:
             yield np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
 
@@ -204,7 +245,8 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
         raise ValueError("threshold must be in (0, 1]")
     sc = sets.sparkSession.sparkContext
     counts, total = document_counts(sets), sets.count()
-    plan = Allocation(threshold, word_kinds(counts, total))
+    rarity = np.rint(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+    plan = Allocation(threshold, word_kinds(counts, total), rarity)
     shared = sc.broadcast(plan)
 
     def histogram(own: np.ndarray, batch: pa.RecordBatch) -> None:
@@ -217,22 +259,22 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
     budgets = folded(sets.select("key", "tokens"), histogram, _BUDGETS, "int64")
     # The last bucket holds all the larger budgets too; only then is it asked how large they are.
     largest = int(folded(sets.select("key", "tokens"), most, 64, "int64", "maximum")[0]) if budgets[-1] else 0
-    plan = Allocation(threshold, plan.kinds, choose_bands(budgets, largest))
+    plan = Allocation(threshold, plan.kinds, rarity, choose_bands(budgets, largest))
     shared, bitmap = sc.broadcast(plan), None
     if len(plan.bands) > 1:
 
         def mark(own: np.ndarray, batch: pa.RecordBatch) -> None:
-            _, _, tokens, owner, kinds, _, band = _read(shared.value, batch)
+            _, _, tokens, owner, kinds, budget, band = _read(shared.value, batch)
             for k in range(1, len(shared.value.bands)):
                 at, o, t = _some(band == k, owner[kinds == 2], tokens[kinds == 2])
                 if len(at):
-                    bit = _segments(shared.value, k, o, t, len(at))[0] & np.uint64((1 << BITMAP_BITS) - 1)
+                    bit = _segments(shared.value, k, budget[at], o, t)[0] & np.uint64((1 << BITMAP_BITS) - 1)
                     np.bitwise_or.at(own, (bit >> np.uint64(3)).astype(np.int64), np.left_shift(1, bit & np.uint64(7)).astype(np.uint8))
 
         bitmap = sc.broadcast(folded(sets.select("key", "tokens"), mark, 1 << (BITMAP_BITS - 3), "uint8", "bitwise_or"))
     emit = lambda batch: _emit(shared.value, bitmap and bitmap.value)(batch)
     reduce = lambda *x: _reduce(shared.value)(*x)
-    pairs = exchange(sets.select("key", "tokens"), emit, reduce, _DOC, np.uint8, partitions_for(sets, total, 200_000))
+    pairs = exchange(sets.select("key", "tokens"), emit, reduce, _DOC, np.uint8, partitions_for(sets, total, TASK_SETS))
     pairs = durable(pairs.distinct())
     found = verified(sets, pairs)
     return found.filter(F.col("common") >= F.lit(threshold) * (F.col("na") + F.col("nb") - F.col("common")) - 1e-9)

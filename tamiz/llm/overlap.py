@@ -71,7 +71,8 @@ def cosine_candidates(sets: DataFrame, threshold: float, weights: str = "unit")
         reach = _rest(weight * most.value[(1 - docs["side"][owner].astype(np.int64)) * sides + bucket], bounds, owner)
         there = most.value[(1 - docs["side"][owner].astype(np.int64)) * sides + bucket] > 0
         use = there & (np.minimum(residual, reach) >= threshold - 1e-6)
-        return mix(tokens[use]), owner[use], np.minimum(residual[use] * _SCALE, _SCALE).astype(np.uint32), docs
+        sig = mix(tokens[use])
+        return sig, sig, owner[use], np.minimum(residual[use] * _SCALE, _SCALE).astype(np.uint32), docs
 
     def reduce(sig: np.ndarray, doc: np.ndarray, value: np.ndarray, docs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         side, residual = docs["side"][doc], value / _SCALE

@@ -124,17 +124,18 @@ def document_counts(sets: DataFrame) -> np.ndarray:
 def exchange(sets: DataFrame, emit: Callable, reduce: Callable, doc_type: np.dtype, value_type: type, partitions: int, extra: Sequence[str] = ()) -> DataFrame:
     """Candidate pairs (``a``, ``b``) of set keys.
 
-    ``emit(batch)`` gives signatures (64 bits), the postings' document numbers, their values (``value_type``) and the
-    documents (``doc_type``, with a field ``key``). All postings of a signature meet in one partition, where
+    ``emit(batch)`` gives signatures (64 bits), the postings' destinations (64-bit hashes, equal for equal signatures), their
+    document numbers and values (``value_type``), and the documents (``doc_type``, with a field ``key``). All postings of a
+    signature meet in one partition, where
     ``reduce(sig, doc, value, docs)`` yields arrays of document numbers that are candidates.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig, doc, value, docs = emit(batch)
+            sig, to, doc, value, docs = emit(batch)
             if not len(sig):
                 continue
-            part = ((sig >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)
+            part = ((to >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)
             order = np.argsort(part.astype(np.uint32 if partitions > 1 << 16 else np.uint16), kind="stable")
             part, low, doc, value = part[order], sig[order].astype(np.uint32), doc[order], value[order]
             cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
