@@ -12,33 +12,57 @@ PLACEHOLDERS = frozenset((
     "not available", "null", "pendiente", "r", "respuesta", "sin contenido", "sin dato", "sin datos", "sin respuesta", "tbd", "todo", "undefined",
     "vacia", "vacio",
 ))
-#: What an answer may open with before it declines, and how it declines, as words without accents.
-REFUSAL_OPENINGS = (
+#: The grammar of refusals, over words without accents. A sentence declines outright if somebody speaks of
+#: himself (ABLE or WILL) and then names the act of answering (ACT), or if it is one of OUTRIGHT; wherever it stands, that is a
+#: refusal. It declines by the way if, after any OPENINGS, it begins with one of EVASIONS.
+OPENINGS = (
     r"lo siento( mucho)?", r"lo lamento", r"lamentablemente", r"desgraciadamente", r"disculpe( usted)?", r"disculpa", r"perdon", r"me temo que",
     r"como (asistente|modelo( de lenguaje)?|ia|inteligencia artificial)( de \w+| virtual)?", r"con la informacion (dada|disponible|facilitada)", r"en este caso", r"por desgracia",
+    r"agradezco (la|su|tu) (pregunta|consulta)", r"gracias por (la|su|tu) (pregunta|consulta)", r"pero", r"de modo que", r"asi que", r"por (eso|ello|tanto)",
     r"(i m|i am) (very )?(sorry|afraid)( but| that)?", r"sorry( but)?", r"unfortunately", r"apologies( but)?", r"as an? (ai|assistant)( language)?( model| assistant)?",
-    r"(with|given) the information (given|available|provided)", r"i regret( that)?", r"pardon( me)?",
+    r"(with|given) the information (given|available|provided)", r"i regret( that)?", r"pardon( me)?", r"(thank you|thanks) for (your|the) question", r"but", r"so", r"therefore",
 )
-REFUSAL_CORES = (
-    r"(yo )?no (puedo|podria|podre) (responder|contestar|ayudar|ofrecer|dar|proporcionar|opinar|facilitar|asistir|atender)",
-    r"no me (es|resulta) posible", r"me (es|resulta) imposible", r"no (dispongo|cuento) (de|con) (\w+ )?(datos|informacion|elementos|conocimientos)", r"no tengo (\w+ )?(datos|informacion|acceso|respuesta)",
-    r"no estoy (en condiciones|autorizad[oa]|capacitad[oa]|seguro)", r"(debo|tengo que|prefiero) (abstenerme|no (ofrecer|dar|opinar|responder|contestar|hacer))", r"no (sabria|se) (que )?(decir|responder|contestar)\w*",
-    r"(la|una) respuesta no (puede|se puede|cabe|es posible)( \w+)?", r"(el|la|este|ese) (fragmento|texto|contexto|pasaje|documento|extracto) (facilitado )?no (aporta|permite|contiene|ofrece|menciona|incluye|dice|da|basta)",
-    r"(esa|esta|su|la) (consulta|pregunta|cuestion) (queda|esta|excede|cae|escapa)( \w+)? (fuera )?(de )?mi(s)? (alcance|competencias?|posibilidades)", r"sin comentarios$", r"(carezco de|desconozco la respuesta|ignoro la respuesta)",
-    r"i (can ?not|can t|could not|couldn t|am not able to|m not able to|am unable to|m unable to|won t|will not|must decline to|must refrain from|have to decline|would rather not|prefer not to|decline to)\b",
-    r"it is (not possible|impossible) for me", r"i (do not|don t) (have|know)", r"i have no (data|information|answer)", r"(the|this|that) (passage|text|context|excerpt|fragment|document) (given )?(does not|doesn t) (say|give|contain|allow|mention|provide|include)",
-    r"(the|an) answer (can ?not|can t) be", r"(that|this|your) (question|query|request) (is|lies|falls) (outside|beyond)", r"no comment$", r"i (would not|wouldn t) know",
+ABLE = (
+    r"no (puedo|podria|podre|podemos|podriamos|podremos|sabria|sabriamos)", r"no me (es|resulta) (posible|facil)", r"me (es|resulta|seria) imposible", r"(soy|somos) incapaz(es)? de",
+    r"no estoy (en condiciones de|autorizad[oa] (a|para)|capacitad[oa] para|facultad[oa] para)", r"no estamos (en condiciones de|autorizad[oa]s (a|para))",
+    r"i (can ?not|can t|could not|couldn t|am not able to|m not able to|am unable to|m unable to|am not in a position to)", r"we (can ?not|can t|are not able to|are unable to)",
+    r"it is (not possible|impossible) for (me|us) to",
 )
-#: What declines wherever it stands in a short answer.
-REFUSALS_ANYWHERE = (
-    r"no voy a (contestar|responder|opinar|dar|ofrecer)", r"no (ofrezco|doy|facilito|proporciono) (pautas|consejos?|recomendaciones|indicaciones|respuestas?|opiniones)",
-    r"(mis|las|nuestras) (normas|politicas|instrucciones|directrices|reglas) (no )?(me |nos )?(impiden|permiten|prohiben)", r"no (es )?respondible", r"como (modelo de lenguaje|asistente virtual|inteligencia artificial)",
-    r"no (lo )?(puedo|podria|sabria) (responder|contestar|decir)\w*", r"prefiero no (contestar|responder|opinar)", r"as an? (ai|language model)", r"i (can ?not|can t|will not|won t|am unable to|m unable to) (answer|reply|respond|help|advise|say)",
-    r"my (guidelines|rules|policies|instructions) (forbid|prevent|do not|don t)", r"(question|it) can ?not be answered", r"(passage|text|material|context) does not (say|clarify|make it clear)",
+WILL = (
+    r"no (voy|vamos) a", r"no (quiero|queremos|deseo|debo|debemos)", r"(prefiero|preferimos|preferiria) no", r"(debo|tengo que|he de|prefiero|prefiriria|quisiera) (abstenerme de|declinar|evitar|rechazar|negarme a|no)",
+    r"me (abstengo|abstendre) de", r"nos abstenemos de", r"me (niego|negare) a", r"(declino|declinare|declinamos|rechazo|rechazare|rehuso|rehusare|evito|evitare|evitaremos|eludo|eludire|renuncio a|renunciare a)",
+    r"i (won t|will not|would rather not|prefer not to|decline to|refuse to|must decline to|must refrain from|have to decline to|must not|should not|am going to refrain from)",
 )
-_ANYWHERE = re.compile(r"\b(?:" + "|".join(REFUSALS_ANYWHERE) + r")\b")
-_OPENING = re.compile("^(?:(?:" + "|".join(REFUSAL_OPENINGS) + ") )*")
-_CORE = re.compile("(?:" + "|".join(REFUSAL_CORES) + ")")
+ACT = (
+    r"respond\w*", r"contest\w*", r"opin\w*", r"pronunci\w*", r"ayud\w*", r"ofrec\w*", r"dar(te|le|les|os)?", r"proporcion\w*", r"facilit\w*", r"asist\w*", r"atend\w*", r"aconsej\w*", r"asesor\w*",
+    r"decir(te|le|lo)?", r"indic\w*", r"coment\w*", r"hacer(lo)?", r"entrar", r"valorar(lo)?", r"recomend\w*", r"determin\w*", r"asegur\w*", r"orient\w*",
+    r"answer\w*", r"repl(y|ies|ying)", r"respon(d|ding|se)", r"help\w*", r"advis\w*", r"say\w*", r"giv(e|ing)", r"provid\w*", r"offer\w*", r"comment\w*", r"recommend\w*", r"assist\w*", r"tell\w*",
+    r"do (so|that|this)", r"discuss\w*", r"determin\w*", r"speculat\w*",
+)
+OUTRIGHT = (
+    r"no (ofrezco|doy|facilito|proporciono) (pautas|consejos?|recomendaciones|indicaciones|respuestas?|opiniones)", r"(mis|las|nuestras) (normas|politicas|instrucciones|directrices|reglas) (no )?(me |nos )?(impiden|permiten|prohiben)",
+    r"no (es )?respondible", r"no (dispongo|cuento|disponemos|contamos) (de|con) (\w+ )?(datos|informacion|elementos|conocimientos)", r"no (tengo|tenemos) (\w+ )?(datos|informacion|acceso|respuesta|conocimientos?)",
+    r"(carezco de|desconozco|ignoro) (\w+ )?(la )?(datos|informacion|respuesta|elementos)", r"no (sabria|se) (que )?(decir|responder|contestar)\w*", r"como (modelo de lenguaje|asistente virtual|inteligencia artificial)", r"as an? (ai|language model)",
+    r"my (guidelines|rules|policies|instructions) (forbid|prevent|do not|don t)", r"i (do not|don t) (have|know) (\w+ )?(information|data|answer|access|enough)", r"i have no (data|information|answer)", r"i (would not|wouldn t) know",
+    r"(question|it|consulta|pregunta) (can ?not be answered|no (se )?puede (ser )?(respond\w*|contest\w*))",
+)
+EVASIONS = (
+    r"no me (es|resulta) posible", r"me (es|resulta) imposible", r"no estoy seguro", r"(la|una) respuesta no (puede|se puede|cabe|es posible)( \w+)?",
+    r"(el|la|este|ese) (fragmento|texto|contexto|pasaje|documento|extracto|material) (facilitado |disponible )?no (aporta|permite|contiene|ofrece|menciona|incluye|dice|da|basta|aclara)",
+    r"(esa|esta|su|la) (consulta|pregunta|cuestion) (queda|esta|excede|cae|escapa)( \w+)? (fuera )?(de )?mi(s)? (alcance|competencias?|posibilidades)", r"sin comentarios$",
+    r"es un (asunto|tema) (delicado|sensible) que debe valorar (su|un) \w+", r"(debe|deberia|conviene que) consult\w+ (a |con )?(su|un) (medico|profesional|especialista)$",
+    r"it is (not possible|impossible) for me", r"(the|this|that) (passage|text|context|excerpt|fragment|document|material) (given )?(does not|doesn t) (say|give|contain|allow|mention|provide|include|clarify|make it clear)",
+    r"(the|an) answer (can ?not|can t) be", r"(that|this|your) (question|query|request) (is|lies|falls) (outside|beyond)", r"no comment$", r"(no puedo|no podria|no podre|i can ?not|i can t)",
+)
+_SAY = "(?:" + "|".join(ABLE + WILL) + r")(?: \w+){0,3}? (?:" + "|".join(ACT) + ")"
+_OUTRIGHT = re.compile(r"\b(?:" + _SAY + "|" + "|".join(OUTRIGHT) + r")\b")
+_EVASION = re.compile("(?:(?:" + "|".join(OPENINGS) + r")(?: sobre( \w+){1,8}?)? )*(?:" + "|".join(EVASIONS) + r")\b")
+_SENTENCES = re.compile(r"(?<=[.!?;:…])\s+|\n+")
+#: Words one of which every sentence that declines has; an answer without them isn't parsed.
+_DECLINING = re.compile(
+    r"\b(?:no|not|imposib\w*|impossible|incapa\w*|can ?not|can t|couldn t|won t|don t|doesn t|wouldn t|unable|declin\w*|refus\w*|refrain\w*|absten\w*|abstend\w*|nieg\w*|negar\w*|rechaz\w*|rehus\w*|evit\w*|elud\w*"
+    r"|renunci\w*|carezco|desconozco|ignoro|lenguaje|asistente|artificial|ai|language|comentarios|comment|guidelines|rules|policies|instructions|impiden|permiten|prohiben|delicado|sensible|consult\w*|beyond|outside|excede|escapa|rather|alcance)\b"
+)
 #: Function words by language, without accents; those of one language only tell it apart.
 LANGUAGE_WORDS = {
     "es": "a al ante antes aqui asi aun aunque bajo cada como con contra cual cuales cuando cuanto cuantas cuantos de del desde despues donde durante e el ella ellas ellos en entre era eran es esa ese eso esta estan estas este esto estos fue fueron ha habia han hasta hay junto la las le les lo los mas me mediante menos mientras muy ni no nos o otra otro para pero por porque pues que quien se segun ser si siempre sin sobre solo son su sus tal tambien tan tiene todo todos tras tu u un una unas uno unos y ya",
@@ -86,13 +110,23 @@ def is_empty(text: str | None, words: list[str]) -> bool:
     return len(own) <= 3 and " ".join(own) in PLACEHOLDERS
 
 
-def is_refusal(words: list[str]) -> bool:
-    """Declines by the grammar opening* core, or with the core among the first words of the answer."""
-    head = " ".join(words[:24])
-    at = _OPENING.match(head).end()
-    if _CORE.match(head, at) or (at and _CORE.search(" ".join(words[:12]))):
-        return True
-    return len(words) <= 40 and bool(_ANYWHERE.search(" ".join(words)))
+def is_refusal(text: str, words: list[str]) -> bool:
+    """Declines by the grammar of refusals: a sentence anywhere that declines outright, or sentences that decline by the way
+    and are the first or at least half of the words of the answer, however long it is."""
+    if not _DECLINING.search(" ".join(words)):
+        return False
+    evasive = total = 0
+    for i, sentence in enumerate(_SENTENCES.split(text)):
+        own = tokens(sentence)
+        said = " ".join(own)
+        total += len(own)
+        if _OUTRIGHT.search(said):
+            return True
+        if _EVASION.match(said):
+            if not total - len(own):
+                return True
+            evasive += len(own)
+    return evasive > 0 and 2 * evasive >= total
 
 
 def tiled(words: list[str], of: list[str], least: int = 2) -> int:
@@ -128,7 +162,7 @@ def copies(question: list[str], answer: list[str]) -> bool:
     body = _PREFIX.sub("", " ".join(answer)).split()
     if len(body) < 4 or len(body) < 0.5 * len(question):
         return False
-    there = set(question)
+    there, question = set(question), question * -(-len(body) // max(1, len(question)))  # said twice it says no more
     if sum(w in there for w in body) < 0.8 * len(body):
         return False
     return tiled(body, question) >= 0.85 * len(body) or (tiled(body, question, 1) >= 0.93 * len(body) and len(body) >= 8)
@@ -158,6 +192,19 @@ def other_language(asked: list[str], words: list[str], clear: float = 1.25) -> b
     return hits >= 3 and max(scores) >= clear * max(scores[i], 1e-9) and max(scores) > scores[i]
 
 
+def unknown_language(asked: list[str], words: list[str], known: set[str]) -> bool:
+    """The question is of a known language, and of the answer's words next to none are function words of any, or words of the
+    question, the source and the other answers (``known``); short answers and lists of names are not judged."""
+    if len(words) < 8 or len(set(words)) < 6:
+        return False
+    scores, hits = language_scores(asked)
+    if hits < 3 or hits < 0.2 * len(asked):
+        return False
+    best = scores.index(max(scores))
+    own = sum((x := _SPEAKS.get(w)) is not None and best in x[0] for w in words)
+    return own <= 0.1 * len(words) and sum(w in known or w[0].isdigit() for w in words) <= 0.2 * len(words) and sum(len(w) <= 3 for w in words) >= 0.1 * len(words)
+
+
 def foreign_script(question: str, answer: str) -> bool:
     """Most letters of the answer are of scripts that are not the question's."""
     def share(t: str) -> float:

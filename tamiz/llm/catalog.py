@@ -82,7 +82,7 @@ def p3_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "raw").filter(F.col("qa_id").isNotNull())
-    each = pairs.defects(raw, ["qa_id", "row_no"], "pregunta", "respuesta")
+    each = pairs.defects(raw, ["qa_id", "row_no"], "pregunta", "respuesta", "contexto_fuente")
     of = each.groupBy("qa_id").agg(F.min_by(F.struct("defect"), "row_no").alias("d")).select("qa_id", "d.defect")
     return of.filter(F.col("defect").isNotNull())
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterator, Sequence, Set
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from pyspark.sql import types as T
 
 from tamiz.llm import answers
 from tamiz.llm.postings import folded
-from tamiz.llm.wordsets import HASH_BITS, mix, slices, words_in_order
+from tamiz.llm.wordsets import mix, slices, word_hashes, words_in_order
 from tamiz.plans.durable import durable
 
 ORDERS = 6
@@ -20,8 +22,9 @@ ORDERS = 6
 ASKED_BITS = 27
 #: A context must have been met so often to be asked; below the share of sentence ends an answer without a final stop breaks off.
 LEAST_SEEN, LEAST_FINAL = 8, 0.15
-#: Words in fewer of the texts stand for their class, as names and word fragments do.
-RARE_SHARE = 0.003
+#: Words in fewer of the texts stand for their class, as names and word fragments do; those in fewer than KNOWN_SHARE aren't
+#: known at all.
+RARE_SHARE, KNOWN_SHARE = 0.003, 0.0005
 _RARE, _NUMBER, _BEGIN = np.uint64(11), np.uint64(22), np.uint64(33)
 
 
@@ -46,23 +49,25 @@ def _contexts(texts: list, common: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return contexts, owner, stop, last
 
 
-def common_words(rows: DataFrame, text: str) -> np.ndarray:
-    """The hashes, ascending, of the words that enough of the texts hold not to be rare. They are counted exactly; as each
-    is in RARE_SHARE of the texts (or the texts are few), there are at most words per text / RARE_SHARE of them."""
+def common_words(rows: DataFrame, text: str) -> tuple[list[str], list[str]]:
+    """The words, ascending, that enough of the texts hold to be known, and not to be rare. They are counted exactly; as each is
+    in KNOWN_SHARE of the texts (or the texts are few), there are at most words per text / KNOWN_SHARE of them."""
     one = rows.select(F.col(text).cast("string").alias("t"))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for lo, hi in slices(texts):
-                owner, hashes, *_ = words_in_order(texts[lo:hi])
-                both = np.unique((owner.astype(np.uint64) << np.uint64(HASH_BITS)) | hashes)
-                word, n = np.unique(both & np.uint64((1 << HASH_BITS) - 1), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+            for t in batch.column(0).to_pylist():
+                counts.update(set(answers.tokens(t)))
+                if len(counts) > 1 << 18:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+                    counts.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
-    rare = max(4.0, RARE_SHARE * one.count())
-    counts = one.mapInArrow(words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return np.sort(np.array([r["word"] for r in counts.filter(F.col("n") >= rare).select("word").collect()], dtype=np.uint64))
+    total = one.count()
+    counts = one.mapInArrow(words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = sorted(map(tuple, counts.filter(F.col("n") >= max(4.0, KNOWN_SHARE * total)).collect()))
+    return [w for w, _ in found], [w for w, n in found if n >= max(4.0, RARE_SHARE * total)]
 
 
 def _asked(contexts: np.ndarray) -> np.ndarray:
@@ -98,36 +103,41 @@ def sentence_ends(rows: DataFrame, text: str, common: np.ndarray, asked: DataFra
     return counts.groupBy("context").agg(F.sum("met").alias("met"), F.sum("final").alias("final"))
 
 
-def defects(rows: DataFrame, carry: list[str], question: str, answer: str) -> DataFrame:
+def defects(rows: DataFrame, carry: list[str], question: str, answer: str, context: str) -> DataFrame:
     """``carry`` columns and ``defect`` of every row: null, or the first that holds of
 
     * ``empty``: null, blank, marks or markup only, or a placeholder;
-    * ``refusal``: declines by the grammar of refusals;
-    * ``copies_question``: greedy string tiling covers nearly all of the answer by the question;
-    * ``other_language``: the function words (or the script) of both are clearly of different languages;
+    * ``refusal``: declines by the grammar of refusals, wherever in the answer;
+    * ``copies_question``: greedy string tiling covers nearly all of the answer by the question, said once or more;
+    * ``other_language``: the function words (or the script) of both are clearly of different languages, or the answer is
+      of no known language and has next to no word of the question, the context or the other answers;
     * ``truncated``: marks show that more must follow (a pushdown parse leaves something open, or the text ends in a
-      hyphen, comma, colon, ellipsis or list mark), or there is no final stop and the last words, up to six, are
-      followed by a stop in less than 15 % of the sentences of all answers that hold them.
+      hyphen, comma, colon, ellipsis or list mark), or there is no final stop and the last word is only the beginning of a
+      word of the context or of the other answers, or the last words, up to six, are followed by a stop in less than 15 %
+      of the sentences of all answers that hold them.
     """
-    common = common_words(rows, answer)
-    shared = rows.sparkSession.sparkContext.broadcast(common)
-    pairs = rows.select(*carry, F.col(question).cast("string").alias("_q"), F.col(answer).cast("string").alias("_a"))
+    common, frequent = common_words(rows, answer)
+    hashes = np.sort(word_hashes(frequent)[1])
+    shared = rows.sparkSession.sparkContext.broadcast((common, frozenset(common), frozenset(frequent), hashes))
+    text = [F.col(c).cast("string").alias(f"_{i}") for i, c in enumerate((question, answer, context))]
+    pairs = rows.select(*carry, *text)
     own = [T.StructField("defect", T.StringType()), T.StructField("_contexts", T.ArrayType(T.LongType()))]
     schema = T.StructType([*(pairs.schema[c] for c in carry), *own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, known, frequent, hashes = shared.value
         for batch in batches:
             out: list = []
             open_: list[tuple[int, str]] = []
-            for q, a in zip(batch.column(len(carry)).to_pylist(), batch.column(len(carry) + 1).to_pylist(), strict=True):
-                defect, undecided = judge(q, a)
+            for q, a, c in zip(*(batch.column(len(carry) + i).to_pylist() for i in range(3)), strict=True):
+                defect, undecided = judge(q, a, c, common, known, frequent)
                 if undecided:
                     open_.append((len(out), a))
                 out.append(defect)
             asked: list = [None] * len(out)
             texts = [answers._HIDDEN.sub("", t) for _, t in open_]
             for lo, hi in slices(texts):
-                contexts, owner, _, last = _contexts(texts[lo:hi], shared.value)
+                contexts, owner, _, last = _contexts(texts[lo:hi], hashes)
                 at = np.flatnonzero(last)
                 for i, each in zip(owner[at], contexts[:, at].view(np.int64).T.tolist(), strict=True):
                     asked[open_[lo + int(i)][0]] = each
@@ -138,19 +148,22 @@ def defects(rows: DataFrame, carry: list[str], question: str, answer: str) -> Da
     undecided = judged.filter(F.col("_contexts").isNotNull())
     asked = undecided.select("_row", F.posexplode("_contexts").alias("order", "context"))
     # The longest context that was met often enough decides; if none was, the answer counts as complete.
-    ends = sentence_ends(rows, answer, common, asked).filter(F.col("met") >= LEAST_SEEN)
+    ends = sentence_ends(rows, answer, hashes, asked).filter(F.col("met") >= LEAST_SEEN)
     share = asked.join(ends, "context").groupBy("_row").agg(F.max_by(F.col("final") / F.col("met"), "order").alias("share"))
     broken = share.filter(F.col("share") < LEAST_FINAL).select("_row", F.lit("truncated").alias("_broken"))
     settled = judged.filter(F.col("_contexts").isNull()).select(*carry, "defect")
     return settled.unionByName(undecided.join(broken, "_row", "left").select(*carry, F.col("_broken").alias("defect")))
 
 
-def judge(question: str | None, answer: str | None) -> tuple[str | None, bool]:
-    """The defect that a pair shows by itself, and whether only the last words can tell if the answer breaks off."""
+def judge(
+    question: str | None, answer: str | None, context: str | None = None, common: Sequence[str] = (), known: Set[str] = frozenset(), frequent: Set[str] = frozenset()
+) -> tuple[str | None, bool]:
+    """The defect that a pair shows by itself and against the words of all answers, those ``common`` enough to be known
+    (ascending, and as the set ``known``) and the ``frequent``, and whether only the last words can tell if the answer breaks off."""
     words = answers.tokens(answer)
     if answers.is_empty(answer, words):
         return "empty", False
-    if answers.is_refusal(words):
+    if answers.is_refusal(answer, words):
         return "refusal", False
     asked = answers.tokens(question)
     if asked and answers.copies(asked, words):
@@ -159,5 +172,24 @@ def judge(question: str | None, answer: str | None) -> tuple[str | None, bool]:
         return "other_language", False
     if question and answers.foreign_script(question, answer):
         return "other_language", False
+    if asked and len(words) >= 8 and sum(map(answers._SPEAKS.__contains__, words)) < 0.35 * len(words):
+        if answers.unknown_language(asked, words, known | set(asked) | set(answers.tokens(context))):
+            return "other_language", False
     how = answers.ending(answer)
-    return ("truncated", False) if how == "broken" else (None, how == "word" and bool(words))
+    if how != "word" or not words:
+        return ("truncated" if how == "broken" else None), False
+    if _begins_a_word(words, asked, context, common, frequent):
+        return "truncated", False
+    return None, True
+
+
+def _begins_a_word(words: list[str], asked: list[str], context: str | None, common: Sequence[str], frequent: Set[str]) -> bool:
+    """Whether the last word is rare, but the beginning of a word that is known."""
+    last = words[-1]
+    if last in frequent or last[0].isdigit() or last in asked or last in words[:-1]:
+        return False
+    of = answers.tokens(context)
+    if last in of:
+        return False
+    at = bisect_right(common, last)
+    return any(len(w) > len(last) + 1 and w.startswith(last) for w in (*common[at : at + 4], *of, *asked))

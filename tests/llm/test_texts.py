@@ -91,6 +91,12 @@ ANSWERS = [
     ("It should be started from week 20, provided that the renal function is normal and the team agrees.", "other_language"), ("Il faut donner le traitement avec une perfusion lente et surveiller la pression.", "other_language"),
     ("Se inicia cuando la presión es alta y, en particular,", "truncated"), ("Los criterios son: a)", "truncated"), ("Se inicia con la dosis de ata-", "truncated"), ("El grupo lo llama «manejo escal", "truncated"),
     ("Se administra (según la guía", "truncated"), ("Se inicia en cuanto se confirma…", "truncated"), ("```sql\nSELECT 1", "truncated"), ("<ul><li>uno.</li></ul>", None),
+    ("Rechazo dar una contestación a eso.", "refusal"), ("Es algo sobre lo que declino pronunciarme.", "refusal"), ("Gracias por la pregunta, pero no voy a contestarla.", "refusal"),
+    ("El sulfato se administra por vía intravenosa en una dosis de carga y después en una de mantenimiento durante un día entero, y se vigilan los reflejos y la diuresis. Aun así, lamentablemente no puedo responder a esa cuestión en su caso.", "refusal"),
+    ("Se evita dar magnesio si la diuresis baja.", None), ("No hay datos que permitan recomendar otra cosa.", None),
+    ("¿Cuándo se inicia el sulfato de magnesio en la mujer con preeclampsia grave? ¿Cuándo se inicia el sulfato de magnesio en la mujer con preeclampsia grave?", "copies_question"),
+    ("Siarczan magnezu podaje się natychmiast po rozpoznaniu ciężkiej postaci choroby, a wlew utrzymuje się przez dobę po porodzie.", "other_language"),
+    ("Oxitocina, misoprostol, carbetocina, ergometrina, ácido tranexámico, metilergonovina, dinoprostona, carboprost.", None),
     ("- Se inicia pronto.\n- Se vigila la diuresis.", None), ("Con sulfato.", None), ("Es «urgente».", None), ("Se inicia pronto. (Nivel de recomendación B.)", None),
 ]
 
@@ -108,10 +114,11 @@ def test_tiles_and_marks():
 def test_unfinished_sentences_by_what_others_end_in(spark):
     full = ["Se vigila la diuresis horaria hasta completar el drenaje", "La paciente debe consultar a un profesional", "Conviene iniciar el fármaco desde la semana veinte"]
     rows = [(i, "¿Qué se hace?", full[i % 3] + ".") for i in range(90)] + [(100, "¿Qué?", full[0]), (101, "¿Qué?", "Se vigila la diuresis horaria hasta completar el"), (102, "¿Qué?", "La paciente debe consultar a"), (103, None, full[1]), (104, "¿Qué?", None)]
-    df = spark.createDataFrame(rows, "i long, q string, a string").withColumn("defect", F.lit("clash"))
-    got = {r["i"]: r["defect"] for r in pairs.defects(df, ["i"], "q", "a").collect() if r["defect"]}
-    assert got == {101: "truncated", 102: "truncated", 104: "empty"}
-    assert pairs.defects(df.filter("false"), ["i"], "q", "a").count() == 0
+    rows += [(105, "¿Qué?", "Se inicia la carbet"), (106, "¿Qué?", "La paciente debe consultar a un profes"), (107, "¿Qué?", "Se inicia la carbet")]
+    df = spark.createDataFrame(rows, "i long, q string, a string").withColumn("defect", F.lit("clash")).withColumn("c", F.when(F.col("i") == 105, "Se inicia la carbetocina."))
+    got = {r["i"]: r["defect"] for r in pairs.defects(df, ["i"], "q", "a", "c").collect() if r["defect"]}
+    assert got == {101: "truncated", 102: "truncated", 104: "empty", 105: "truncated", 106: "truncated"}
+    assert pairs.defects(df.filter("false"), ["i"], "q", "a", "c").count() == 0
 
 
 def test_contexts_are_counted_exactly(spark):
@@ -122,7 +129,7 @@ def test_contexts_are_counted_exactly(spark):
     rows = [(i, "¿Qué?", " ".join(rng.choice(words) for _ in range(150)) + " fin.") for i in range(5000)]
     rows += [(10000 + i, "¿Qué?", " ".join([*(rng.choice(words) for _ in range(9)), "fin"])) for i in range(200)]
     df = spark.createDataFrame(rows, "i long, q string, a string").repartition(4)
-    assert pairs.defects(df, ["i"], "q", "a").filter("i >= 10000 and defect is not null").count() == 0
+    assert pairs.defects(df.withColumn("c", F.lit(None)), ["i"], "q", "a", "c").filter("i >= 10000 and defect is not null").count() == 0
 
 
 PROSE = "La administración del fármaco se asoció con menor riesgo en las pacientes que recibieron la dosis completa durante el embarazo, aunque la diferencia fue pequeña. "
