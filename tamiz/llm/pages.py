@@ -37,18 +37,45 @@ _ABBREVIATION = re.compile(r"^\s*[A-ZÁÉÍÓÚÑ0-9]{2,12}\s*[:=–—-]\s")
 _ITEMS = re.compile(r"\s*(?:[,;·•|»›>]|\s[/\-–—]\s|\s{2,}|\t)\s*")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _LABEL = re.compile(r"^\s*[^\W\d_][^:]{0,28}:\s*")
-#: Letters whose case folds differently by themselves, in words and in patterns; texts with them are read in full.
-_FOLDING = re.compile("[\u0130\u0131\u017f\u212a\u03a3]")
+#: The languages whose function words are listed, and letters that none of them has.
+LISTED, _UNLISTED = frozenset(("es", "en", "fr", "pt", "it", "de")), re.compile("[ąćčďđěęğıłńňőřśşșšťțůűźżž]")
 _LINK_SIGNS, _PRICE_SIGNS = ("www.", "index.php", ".htm", ".php", ".asp"), ("€", "$", "£", "eur", "usd")
 
 PROSE, STRUCTURE, SPAM, BARE = range(4)
 
 
-def _function_share(words: list[str]) -> float:
-    return sum(w in FUNCTION_WORDS for w in words) / len(words) if words else 0.0
+def _function_share(words: list[str], short: bool = False) -> float:
+    """The share of function words; in a language that isn't listed (``short``) words of up to three letters stand for them."""
+    return sum(w in FUNCTION_WORDS or (short and len(w) <= 3 and not w.isdigit()) for w in words) / len(words) if words else 0.0
 
 
-def segment_kind(segment: str) -> int:
+def unlisted(text: str, lang: str | None) -> bool:
+    """Whether a page is of a language without a list of function words: by its label, without one by its letters."""
+    lang = (lang or "").strip().lower()[:2]
+    if lang in LISTED:
+        return False
+    return lang not in ("", "un") or len(_UNLISTED.findall(text.lower())) > 0.01 * len(text)
+
+
+def make_up(text: str, counts: Counter) -> list[int]:
+    """A page's characters in links, tags, prices, other digits, separators, function words and other words."""
+    low = text.lower()
+    links = sum(map(len, _LINK.findall(text))) if "/" in low or any(x in low for x in _LINK_SIGNS) else 0
+    tags = sum(map(len, _TAG.findall(text))) if "#" in text else 0
+    prices = sum(map(len, _PRICE.findall(text))) if any(x in low for x in _PRICE_SIGNS) else 0
+    words = function = digits = 0
+    for w, c in counts.items():
+        n = len(w) * c
+        words += n
+        if w in FUNCTION_WORDS:
+            function += n
+        elif w.isdigit():
+            digits += n
+    marks = sum(map(text.count, ",;·•|»›>/-–—\t\n"))
+    return [links, tags, prices, digits, marks, function, words - function - digits]
+
+
+def segment_kind(segment: str, short: bool = False) -> int:
     """PROSE, STRUCTURE (contents, references, doses, abbreviations ...), SPAM, or BARE (a short line, undecided)."""
     words = [w.lower() for w in _WORD.findall(segment)]
     if not words:
@@ -59,17 +86,17 @@ def segment_kind(segment: str) -> int:
     if links or tags:
         rest = [w.lower() for w in _WORD.findall(_TAG.sub(" ", _LINK.sub(" ", segment)))]
         marked = len(words) - len(rest)
-        if not _CITATION.search(segment) and (marked >= 0.5 * len(words) or (len(rest) <= 8 and _function_share(rest) < 0.34 and marked >= 2)):
+        if not _CITATION.search(segment) and (marked >= 0.5 * len(words) or (len(rest) <= 8 and _function_share(rest, short) < 0.34 and marked >= 2)):
             return SPAM
     if _CITATION.search(segment) or _LEADER.search(segment) or _NUMBERED.match(segment) or _ABBREVIATION.match(segment):
         return STRUCTURE
-    if _PRICE.search(segment) and (_PRODUCT.search(segment) or (len(words) <= 14 and _function_share(words) < 0.3)):
+    if _PRICE.search(segment) and (_PRODUCT.search(segment) or (len(words) <= 14 and _function_share(words, short) < 0.3)):
         return SPAM
     if "€" not in segment and len(_UNITS.findall(segment)) and "\t" in segment:
         return STRUCTURE
     if _PAGE_NUMBER.search(segment) and len(words) <= 14:
         return STRUCTURE
-    share = _function_share(words)
+    share = _function_share(words, short)
     body = _LABEL.sub("", segment, count=1) if ":" in segment[:30] else segment
     items = [n for x in _ITEMS.split(body.strip(" .;,|»")) if (n := len(_WORD.findall(x)))]
     if len(items) >= 4 and sum(items) / len(items) <= 6 and share < 0.27:
@@ -81,7 +108,7 @@ def segment_kind(segment: str) -> int:
         return BARE
     if len(items) >= 3 and sum(items) / len(items) <= 5 and share < 0.2:
         return BARE
-    if len(words) >= 25 and share < 0.12 and not _UNITS.search(segment):
+    if len(words) >= 25 and share < 0.12 and not short and not _UNITS.search(segment):
         return SPAM
     return PROSE
 
@@ -110,84 +137,19 @@ def repeated_term(segments: list[list[str]]) -> tuple[str, ...] | None:
     return best
 
 
-def may_be_spam(text: str | None, share: float) -> bool:
-    """False only if ``spam_share(text)`` is at most ``share``; a bound by the same parts, cheap for prose.
-
-    A segment without links, tags, prices and hyphenated lists is spam or bare only if it has few function words; the
-    others' kinds are asked for. To these come the sentences that a repeated term could mark at most: ``repeated_term``
-    wants it 1.6 times in a sentence that holds it, on average, so some hold it twice and only so many hold it once.
-    """
-    if not text or text.isspace():
-        return False
-    text = unicodedata.normalize("NFC", text)
-    if _FOLDING.search(text):
-        return True
-    text = _HYPHENATED.sub("", _HIDDEN.sub("", text))
-    low = text.lower()
-    marked = "#" in low or "/" in low or any(x in low for x in _LINK_SIGNS) or any(x in low for x in _PRICE_SIGNS)
-    total = spam = 0.0
-    rest: list[tuple[int, list[str]]] = []
-    for line in _BREAKS.split(text):
-        if not line.strip():
-            continue
-        parts = [s for s in _SENTENCE.split(line) if s.strip()] if len(line) > 60 else [line]
-        words = [_WORD.findall(s.lower()) for s in parts]
-        known = [sum(map(FUNCTION_WORDS.__contains__, w)) for w in words]
-        if not _plain(line, sum(map(len, words)), sum(known), marked) and segment_kind(line) == SPAM:
-            total += len(line.strip())
-            spam += len(line.strip())
-            continue
-        for s, w, k in zip(parts, words, known, strict=True):
-            n = len(s.strip())
-            total += n
-            if not _plain(s, len(w), k, marked) and segment_kind(s) in (SPAM, BARE):
-                spam += n
-            else:
-                rest.append((n, w))
-    most = share * total
-    if spam > most:
-        return True
-    counts: Counter = Counter()
-    for _, words in rest:
-        counts.update(words)
-    terms = {w for w, c in counts.items() if c >= 4 and w not in FUNCTION_WORDS and not w.isdigit()}
-    held: dict[str, list[tuple[int, int]]] = {}
-    for n, words in rest:
-        for w in terms.intersection(words):
-            held.setdefault(w, []).append((words.count(w), n))
-    for each in held.values():
-        often = [(m, n) for m, n in each if m > 1]
-        once = int((sum(m for m, _ in often) - 1.6 * len(often)) / 0.6 + 1e-9)
-        if often and spam + sum(n for _, n in often) + sum(sorted((n for m, n in each if m == 1), reverse=True)[:once]) > most:
-            return True
-    return False
-
-
-def _plain(segment: str, words: int, known: int, marked: bool) -> bool:
-    """Whether a segment of so many words, so many of them function words, can be neither SPAM nor BARE."""
-    if not words:
-        return True
-    if marked or segment.count("-") >= 4:
-        low = segment.lower()
-        if "#" in low or segment.count("-") >= 4 or any(x in low for x in _PRICE_SIGNS):
-            return False
-        if ("/" in low or any(x in low for x in _LINK_SIGNS)) and _LINK.search(segment):
-            return False
-    return known >= 0.3 * words + 1e-9 or (known >= 0.27 * words + 1e-9 and (words > 12 or segment.rstrip()[-1:] in ".?!:"))
-
-
-def spam_share(text: str | None) -> float:
+def spam_share(text: str | None, lang: str | None = None) -> float:
     """The share of a page's characters in keywords, links, product tags or sentences that repeat a term (0 to 1)."""
     if not text or text.isspace():
         return 0.0
     text = _HYPHENATED.sub("", _HIDDEN.sub("", unicodedata.normalize("NFC", text)))
+    short = unlisted(text, lang)
     segments: list[tuple[str, int]] = []
     for line in _BREAKS.split(text):
         if not line.strip():
             continue
-        kind = segment_kind(line)
+        kind = segment_kind(line, short)
         if kind != SPAM and len(line) > 60:
-            segments += [(s, segment_kind(s)) for s in _SENTENCE.split(line) if s.strip()]
+            segments += [(s, segment_kind(s, short)) for s in _SENTENCE.split(line) if s.strip()]
         else:
             segments.append((line, kind))
     kinds = [k for _, k in segments]
@@ -199,7 +161,7 @@ def spam_share(text: str | None) -> float:
                 j += 1
             run = [w.lower() for s, k in segments[i:j] if k == BARE for w in _WORD.findall(s)]
             bare = sum(k == BARE for k in kinds[i:j])
-            spam = (bare >= 4 or j - i > bare) and _function_share(run) < 0.3
+            spam = (bare >= 4 or j - i > bare) and _function_share(run, short) < 0.3
             for k in range(i, j):
                 if kinds[k] == BARE:
                     kinds[k] = SPAM if spam else STRUCTURE

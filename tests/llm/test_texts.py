@@ -174,9 +174,8 @@ def test_spam_pages(spark):
     assert spam.spam_pages(df.filter("false"), "doc_id", "text", "lang").count() == 0
 
 
-def test_spam_pages_need_no_extreme_curve(spark, monkeypatch):
-    """Spam is found even if no page at all is a suspect by its curve."""
-    monkeypatch.setattr(spam, "EXTREME", 1e9)
+def test_tags_below_prose_are_extreme_in_make_up(spark):
+    """A page of prose and a long line of tags, which counted by words looks like prose, is extreme by its characters."""
     rng = random.Random(8)
     common = ["la", "de", "que", "el", "en", "y", "las", "con", "se"]
     vocabulary = [w for w in PROSE.split() if len(w) > 3]
@@ -187,13 +186,24 @@ def test_spam_pages_need_no_extreme_curve(spark, monkeypatch):
     assert [r["doc_id"] for r in spam.spam_pages(df, "doc_id", "text", "lang").collect()] == [100]
 
 
-@pytest.mark.parametrize("share", [0.1, 0.5, 0.8])
-def test_the_bound_loses_no_spam(share):
-    rng = random.Random(9)
-    lines = [x for t in [*SPAM.values(), *CLEAN.values()] for x in t.split("\n")] + [PROSE, "Cuna plegable y cuna plegable. Una cuna plegable.", "İstanbul, a, b, c", ""]
-    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 9))) for _ in range(1500)]
-    assert all(pages.may_be_spam(t, share) for t in texts if pages.spam_share(t) > share)
-    assert not pages.may_be_spam(PROSE * 4, share) and not pages.may_be_spam(None, share)
+def test_every_page_that_the_check_calls_spam_is_a_suspect(spark, data):
+    """The gate by curves against the check over all pages, on the test data."""
+    rows = spark.read.parquet(f"{data.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text", "lang")
+    spam_ = {r["doc_id"] for r in rows.collect() if pages.spam_share(r["text"], r["lang"]) > 0.5}
+    suspects = {r["doc"] for r in spam.suspects(spam.profiles(rows, "doc_id", "text", "lang").filter("n > 0")).collect()}
+    assert spam_ and spam_ <= suspects and len(suspects) < 0.4 * rows.count()
+
+
+FOREIGN = {
+    "pl": "Badanie wykazało, że podanie leku zmniejsza ryzyko powikłań u kobiet w ciąży, jeżeli leczenie zostanie rozpoczęte przed dwudziestym tygodniem, a pacjentka pozostaje pod stałą opieką lekarza i położnej oraz regularnie mierzy ciśnienie krwi w domu. ",
+    "tr": "Çalışma, tedavinin yirminci haftadan önce başlatılması ve hastanın düzenli olarak izlenmesi durumunda ilacın gebelikte komplikasyon riskini azalttığını, ancak bu farkın küçük olduğunu ve daha büyük çalışmalara ihtiyaç duyulduğunu göstermiştir. ",
+}
+
+
+@pytest.mark.parametrize("lang", FOREIGN)
+def test_prose_of_languages_without_a_list_is_no_spam(lang):
+    assert pages.spam_share(FOREIGN[lang] * 3, lang) < 0.5 and pages.spam_share(FOREIGN[lang] * 3, None) < 0.5
+    assert pages.spam_share(FOREIGN[lang] + "\n" + SPAM["links"], lang) > 0.5
 
 
 def test_curves_fit_the_line(spark):
