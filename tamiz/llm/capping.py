@@ -7,7 +7,8 @@ from math import floor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import ranked
+from tamiz.llm.common import joined, ranked
+from tamiz.plans.durable import durable
 
 
 def quotas(sizes: DataFrame, cap: int, weights: str = "size") -> DataFrame:
@@ -44,6 +45,24 @@ def quotas(sizes: DataFrame, cap: int, weights: str = "size") -> DataFrame:
     return sizes.select("contributor", "stratum", slots.cast("long").alias("slots"))
 
 
+def _over(
+    rows: DataFrame, id_col: str, contributor: Column, quality: Column, cap: int | None, share: float | None, stratum: Column | None, weights: str
+) -> tuple[DataFrame, DataFrame]:
+    """The rows' ids, contributors, strata and qualities, written once, and the ids that exceed their slots."""
+    rows = durable(rows.select(
+        F.col(id_col).alias("id"), contributor.alias("contributor"), quality.alias("quality"),
+        (F.lit("") if stratum is None else F.coalesce(stratum, F.lit(""))).alias("stratum"),
+    ))
+    sizes = durable(rows.groupBy("contributor", "stratum").agg(F.count(F.lit(1)).alias("n")))
+    if cap is None:
+        cap = floor(round(share * (sizes.agg(F.sum("n")).head()[0] or 0), 6))
+    # With a share, fewer than 1 / share contributors are over the cap; their slots are broadcast if they are few indeed.
+    slots = durable(quotas(sizes.filter(F.col("contributor").isNotNull()), cap, weights))
+    over = joined(rows, slots, ["contributor", "stratum"])
+    order = [F.col("quality").desc_nulls_last(), F.col("id").asc()]
+    return rows, ranked(over, ["contributor", "stratum"], order).filter(F.col("rank") > F.col("slots")).select("id")
+
+
 def cap_contributors(
     rows: DataFrame, id_col: str, contributor: Column, quality: Column, *, cap: int | None = None, share: float | None = None,
     stratum: Column | None = None, weights: str = "size",
@@ -58,32 +77,14 @@ def cap_contributors(
     Sizes are aggregated before any ranking, and only rows of contributors over the cap are ranked, by range
     partitions, so one contributor with a third of all rows is spread over many tasks.
     """
-    rows = rows.select(
-        F.col(id_col).alias("id"), contributor.alias("contributor"), quality.alias("quality"),
-        (F.lit("") if stratum is None else F.coalesce(stratum, F.lit(""))).alias("stratum"),
-    )
-    sizes = rows.groupBy("contributor", "stratum").agg(F.count(F.lit(1)).alias("n"))
-    if cap is None:
-        total = sizes.agg(F.sum("n")).head()[0] or 0
-        cap = floor(round(share * total, 6))
-    slots = quotas(sizes.filter(F.col("contributor").isNotNull()), cap, weights)
-    over = rows.join(slots, ["contributor", "stratum"])
-    order = [F.col("quality").desc_nulls_last(), F.col("id").asc()]
-    over = ranked(over, ["contributor", "stratum"], order).filter(F.col("rank") > F.col("slots")).select("id", F.lit(True).alias("_out"))
+    rows, over = _over(rows, id_col, contributor, quality, cap, share, stratum, weights)
     kept = F.col("_out").isNull()
-    return rows.join(over, "id", "left").select("id", "contributor", "stratum", "quality", kept.alias("kept"))
+    return rows.join(over.withColumn("_out", F.lit(True)), "id", "left").select("id", "contributor", "stratum", "quality", kept.alias("kept"))
 
 
 def over_cap(
-    rows: DataFrame, id_col: str, contributor: Column, quality: Column, *, share: float, stratum: Column | None = None, weights: str = "size"
-) -> DataFrame:
+    rows: DataFrame, id_col: str, contributor: Column, quality: Column, *, cap: int | None = None, share: float | None = None,
+    stratum: Column | None = None, weights: str = "size",
+) -> DataFrame:
     """The ids that :func:`cap_contributors` removes, without passing over the rows that stay."""
-    rows = rows.select(
-        F.col(id_col).alias("id"), contributor.alias("contributor"), quality.alias("quality"),
-        (F.lit("") if stratum is None else F.coalesce(stratum, F.lit(""))).alias("stratum"),
-    )
-    sizes = rows.groupBy("contributor", "stratum").agg(F.count(F.lit(1)).alias("n"))
-    cap = floor(round(share * (sizes.agg(F.sum("n")).head()[0] or 0), 6))
-    slots = quotas(sizes.filter(F.col("contributor").isNotNull()), cap, weights)
-    order = [F.col("quality").desc_nulls_last(), F.col("id").asc()]
-    return ranked(rows.join(slots, ["contributor", "stratum"]), ["contributor", "stratum"], order).filter(F.col("rank") > F.col("slots")).select("id")
+    return _over(rows, id_col, contributor, quality, cap, share, stratum, weights)[1]

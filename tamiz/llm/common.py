@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tamiz.operators.ordered import ranked
 
-__all__ = ["exact_medians", "ranked", "records", "source_of", "split_of", "table"]
+__all__ = ["exact_medians", "joined", "ranked", "records", "source_of", "split_of", "table"]
 
 #: The spellings of each split, after trimming and lower-casing.
 SPLIT_SPELLINGS = {
@@ -50,6 +50,20 @@ def records(raw: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
+#: Rows of a joined table up to which it is broadcast, and how many copies of a larger one share out a hot key.
+BROADCAST_ROWS, SALTS = 200_000, 32
+
+
+def joined(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with a durable ``table`` that has one row per key, whatever the share of rows that one key holds: a table
+    of up to BROADCAST_ROWS rows is broadcast, of a larger one each salt of the rows meets its own copy. ``how``: 'inner' or 'left'."""
+    if table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), list(keys), how)
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    right = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int = 1024) -> dict[str, float | None]:
     """The exact median of each numeric column (null values left out; null for a column without values).
 

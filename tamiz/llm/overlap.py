@@ -4,7 +4,7 @@ Each text is a vector of term weights with norm 1, its terms ordered from rare t
 the norm of the rest (the residual) still reaches the threshold are put into the inverted lists: a pair whose first
 common term comes later can't reach it. The bound is sharpened by the largest weight that a term has on the other
 side, and a list yields only pairs whose two residual norms multiply to the threshold. Where all terms weigh the same, a 128-bit sketch of each set must
-allow the threshold too. Candidates get exact dot products.
+allow the threshold too. Candidates then get their exact dot product (``cosine_pairs``), or the overlap of their sets.
 """
 
 from __future__ import annotations
@@ -49,12 +49,27 @@ def _rest(values: np.ndarray, bounds: np.ndarray, owner: np.ndarray) -> np.ndarr
     return upto[bounds[1:]][owner] - upto[:-1]
 
 
+def _statistics(sets: DataFrame, weights: str) -> tuple[np.ndarray, int, np.ndarray | None]:
+    counts, total = document_counts(sets), sets.count()
+    return counts, total, None if weights == "unit" else np.log1p(max(total, 1) / np.maximum(counts, 1)).astype(np.float32)
+
+
+def cosine_pairs(sets: DataFrame, threshold: float, weights: str = "idf") -> DataFrame:
+    """(``a``, ``b``, ``cosine``): all pairs of set keys found on different sides whose weighted cosine is at least ``threshold``."""
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must be in (0, 1]")
+    pairs = durable(cosine_candidates(sets, threshold, weights))
+    found = verified(sets, pairs, weights=_statistics(sets, weights)[2])
+    return found.filter(F.col("cosine") >= threshold - 1e-9).select("a", "b", "cosine")
+
+
 def cosine_candidates(sets: DataFrame, threshold: float, weights: str = "unit") -> DataFrame:
     """Pairs (``a``, ``b``) of set keys, one with ``side`` 0 and one with 1, among which are all whose cosine is at
     least ``threshold``. ``weights``: 'unit', or 'idf' for log(1 + N / document frequency of the term's bucket)."""
     sc = sets.sparkSession.sparkContext
-    counts, total = document_counts(sets), sets.count()
-    idf = None if weights == "unit" else np.log1p(max(total, 1) / np.maximum(counts, 1)).astype(np.float32)
+    if weights not in ("unit", "idf"):
+        raise ValueError(f"unknown weights: {weights}")
+    counts, total, idf = _statistics(sets, weights)
     stats = sc.broadcast((counts, idf))
     sides = 1 << BUCKET_BITS
 
@@ -105,7 +120,7 @@ def cosine_candidates(sets: DataFrame, threshold: float, weights: str = "unit")
 
 
 def cross_split_overlaps(sets: DataFrame, overlap: float) -> DataFrame:
-    """(``a``, ``b``, ``common``, ``na``, ``nb``): pairs of set keys found on different sides (``side`` 0 and 1 of
+    """(``a``, ``b``, ``common``, ``na``, ``nb``, ``cosine``): pairs of set keys found on different sides (``side`` 0 and 1 of
     ``sets``) whose overlap (Jaccard) is at least ``overlap``; a set found on both sides pairs with itself.
 
     Words weigh the same here, as overlap counts them; an overlap of ``t`` then means a cosine of ``2t/(1+t)`` at least.

@@ -75,6 +75,26 @@ def pack(sizes: np.ndarray, capacities: Sequence[int]) -> tuple[np.ndarray, np.n
     return bins, np.array(sizes_of_bins, dtype=np.int64)
 
 
+def pack_jointly(sizes: np.ndarray, capacities: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`pack`, by the one of all sets of permitted capacities that hold every item with which the containers take the
+    least space together (ties: the fewest containers): what is best bin by bin needn't be best for all."""
+    capacities = sorted(set(capacities))
+    largest = int(sizes.max(initial=0))
+    best = None
+    for mask in range(1, 1 << len(capacities)):
+        chosen = [c for i, c in enumerate(capacities) if mask >> i & 1]
+        if chosen[-1] < largest:
+            continue
+        bins, opened = pack(sizes, chosen)
+        # Downsizing: every container shrinks to the least permitted capacity that holds its contents.
+        held = np.bincount(bins, weights=sizes, minlength=len(opened)) if len(opened) else np.zeros(0)
+        opened = np.array(capacities, dtype=np.int64)[np.searchsorted(capacities, held)] if len(opened) else opened
+        cost = (int(opened.sum()), len(opened))
+        if best is None or cost < best[0]:
+            best = (cost, bins, opened)
+    return best[1], best[2]
+
+
 def fill_containers(items: DataFrame, id_col: str, size_col: str, capacities: Sequence[int], block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(``container_id``, ``capacity``, id, ``item_start``, ``item_end``, ``position``): what each container holds.
 
@@ -103,7 +123,7 @@ def fill_containers(items: DataFrame, id_col: str, size_col: str, capacities: Se
         top = capacities[-1]
         full, rest = n // top, n % top
         rest_items = np.flatnonzero((rest > 0) | (n == 0))
-        bins, sizes = pack(rest[rest_items], capacities)
+        bins, sizes = pack_jointly(rest[rest_items], capacities)
         pieces = np.repeat(np.arange(len(n)), full)
         inside = np.arange(len(pieces)) - np.repeat(np.cumsum(full) - full, full)
         item = np.concatenate([pieces, rest_items])

@@ -187,8 +187,9 @@ def partitions_for(sets: DataFrame, rows: int, per_task: int) -> int:
     return max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task), 1)
 
 
-def verified(sets: DataFrame, pairs: DataFrame, bitmap_bits: int = 24) -> DataFrame:
-    """(``a``, ``b``, ``na``, ``nb``, ``common``) of candidate ``pairs``, by the sets' whole contents.
+def verified(sets: DataFrame, pairs: DataFrame, bitmap_bits: int = 24, weights: np.ndarray | None = None) -> DataFrame:
+    """(``a``, ``b``, ``na``, ``nb``, ``common``, ``cosine``) of candidate ``pairs``, by the sets' whole contents: the exact dot
+    product of the normed vectors whose terms weigh ``weights`` (by bucket), or the same.
 
     Sets that no pair names are dropped by a bitmap of fixed size before the join.
     """
@@ -206,22 +207,35 @@ def verified(sets: DataFrame, pairs: DataFrame, bitmap_bits: int = 24) -> DataFr
             hit = wanted.value[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8) & 1
             yield batch.filter(pa.array(hit.astype(bool)))
 
+    heavy = None if weights is None else sets.sparkSession.sparkContext.broadcast(weights)
+
+    def squares(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        of = np.ones(len(tokens)) if heavy is None else heavy.value[bucket_of(tokens)].astype(np.float64) ** 2
+        return np.add.reduceat(np.append(of, 0.0), bounds[:-1]) if len(bounds) > 1 else np.zeros(0)
+
     named = sets.select("key", "tokens").mapInArrow(keep, "key long, tokens binary").dropDuplicates(["key"])
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             (ba, ta), (bb, tb) = unpack(batch.column("ta")), unpack(batch.column("tb"))
             na, nb = np.diff(ba), np.diff(bb)
-            out = np.zeros(len(na), dtype=np.int32)
+            out, dot = np.zeros(len(na), dtype=np.int32), np.zeros(len(na))
             for i in range(0, len(na), 1 << 14):  # the pair's number goes above the token's bits
                 j = min(i + (1 << 14), len(na))
                 pair = np.concatenate([np.repeat(np.arange(j - i), na[i:j]), np.repeat(np.arange(j - i), nb[i:j])]).astype(np.uint64)
                 both = np.sort((pair << np.uint64(HASH_BITS)) | np.concatenate([ta[ba[i] : ba[j]], tb[bb[i] : bb[j]]]))
-                hits = both[1:][both[1:] == both[:-1]] >> np.uint64(HASH_BITS)
-                out[i:j] = np.bincount(hits.astype(np.int64), minlength=j - i)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(na.astype(np.int32)), pa.array(nb.astype(np.int32)), pa.array(out)], ["a", "b", "na", "nb", "common"])
+                hits = both[1:][both[1:] == both[:-1]]
+                of = (hits >> np.uint64(HASH_BITS)).astype(np.int64)
+                out[i:j] = np.bincount(of, minlength=j - i)
+                if heavy is not None:
+                    dot[i:j] = np.bincount(of, heavy.value[bucket_of(hits & np.uint64((1 << HASH_BITS) - 1))].astype(np.float64) ** 2, minlength=j - i)
+            cosine = (out if heavy is None else dot) / np.sqrt(squares(ta, ba) * squares(tb, bb))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(na.astype(np.int32)), pa.array(nb.astype(np.int32)), pa.array(out), pa.array(cosine)],
+                ["a", "b", "na", "nb", "common", "cosine"],
+            )
 
     first = named.select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
     second = named.select(F.col("key").alias("b"), F.col("tokens").alias("tb"))
     whole = pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
-    return whole.mapInArrow(common, "a long, b long, na int, nb int, common int")
+    return whole.mapInArrow(common, "a long, b long, na int, nb int, common int, cosine double")

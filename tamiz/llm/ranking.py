@@ -38,10 +38,20 @@ def combined_scores(rows: DataFrame, id_col: str, weights: dict[str, float]) ->
     return base.select("id", F.exp(log_mean).alias("combined"))
 
 
-def best(scored: DataFrame, share: float | None = None) -> DataFrame:
-    """``scored`` with its ``rank`` (best first, ties by id); only the first ``share`` of it (rounded down) if given."""
-    out = ranked(scored, [], [F.col("combined").desc(), F.col("id").asc()])
+def best(scored: DataFrame, share: float | None = None, buckets: int = 4096) -> DataFrame:
+    """``scored`` with its ``rank`` (best first, ties by id); only the first ``share`` of it (rounded down) if given.
+
+    For a share, a histogram of ``buckets`` counts tells first which rows can be among them, and only these are ranked.
+    """
+    order = [F.col("combined").desc(), F.col("id").asc()]
     if share is None:
-        return out
-    n = scored.count()
-    return out.filter(F.col("rank") <= int(n * share + 1e-9))
+        return ranked(scored, [], order)
+    at = F.least(F.floor(F.col("combined") * buckets), F.lit(buckets - 1))
+    counts = {r["at"]: r["n"] for r in scored.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = int(sum(counts.values()) * share + 1e-9)
+    above, least = 0, buckets
+    for b in sorted(counts, reverse=True):
+        if above >= n:
+            break
+        above, least = above + counts[b], b
+    return ranked(scored.filter(at >= least), [], order).filter(F.col("rank") <= n)

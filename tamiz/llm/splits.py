@@ -8,24 +8,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import ranked
+from tamiz.llm.common import joined, ranked
 from tamiz.llm.forest import components
+from tamiz.plans.durable import durable
 
 
 def groups_of(rows: DataFrame, id_col: str, keys: Sequence[Column]) -> DataFrame:
-    """(``id``, ``entity``): rows that share a value of any key, directly or through others, have one entity.
+    """(``id``, ``entity``): rows that share a value of any key, directly or through others, have one entity, named by the
+    least of its keys.
 
     Keys are strings prefixed by their number, so values of different keys never meet; a row whose keys are all null
-    is an entity of its own. Edges between the keys of a row are made distinct before the union-find.
+    is an entity of its own. The keys of a row are linked, and each task's links are reduced to a forest before anything
+    is shuffled. Only rows whose first key isn't their entity's name are looked up.
     """
     named = [F.concat(F.lit(f"{i}:"), k.cast("string")) for i, k in enumerate(keys)]
-    first = F.coalesce(*named, F.concat(F.lit("id:"), F.col(id_col).cast("string")))
+    first = F.coalesce(*named, F.concat(F.lit("id:"), F.to_json(F.struct(id_col))))
     base = rows.select(F.col(id_col).alias("id"), first.alias("_key"), F.array_compact(F.array(*named)).alias("_keys"))
-    if len(keys) == 1:
-        return base.select("id", F.col("_key").alias("entity"))
-    edges = base.filter(F.size("_keys") > 1).select("_key", F.explode("_keys").alias("other")).distinct()
-    forest = components(edges)
-    return base.join(forest, base["_key"] == forest["node"], "left").select("id", F.coalesce("root", "_key").alias("entity"))
+    edges = base.filter(F.size("_keys") > 1).select("_key", F.explode(F.slice("_keys", 2, len(keys))).alias("other"))
+    moved = components(edges).filter("node <> root")
+    # A key of the last number is a row's first only if all others are null.
+    needed = base.select("_key").filter(~F.col("_key").startswith("0:")).distinct() if len(keys) > 1 else None
+    if needed is not None:
+        moved = moved.filter(F.col("node").startswith("0:")).unionByName(moved.filter(~F.col("node").startswith("0:")).join(needed, F.col("node") == F.col("_key"), "left_semi"))
+    moved = durable(moved.select(F.col("node").alias("_key"), "root"))
+    return joined(base.select("id", "_key"), moved, ["_key"], "left").select("id", F.coalesce("root", "_key").alias("entity"))
 
 
 def greedy_counts(sizes: dict[int, int], targets: dict[str, float]) -> dict[int, list[tuple[str, int]]]:
@@ -63,7 +69,7 @@ def assign_splits(rows: DataFrame, id_col: str, keys: Sequence[Column], ratios:
     empty result. Groups of one size are told apart by their entity, ascending."""
     if not ratios or min(ratios.values()) < 0 or sum(ratios.values()) <= 0:
         raise ValueError("ratios must be non-negative and not all 0")
-    members = groups_of(rows, id_col, keys)
+    members = durable(groups_of(rows, id_col, keys))
     groups = members.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
     sizes = {r["n"]: r["c"] for r in groups.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     total, whole = sum(n * c for n, c in sizes.items()), sum(ratios.values())
@@ -74,7 +80,7 @@ def assign_splits(rows: DataFrame, id_col: str, keys: Sequence[Column], ratios:
     placed = ranked(groups, ["n"], [F.col("entity").asc()])
     within = (F.col("n") == F.col("size")) & (F.col("rank") > F.col("after")) & (F.col("rank") <= F.col("upto"))
     chosen = placed.join(table, within).select("entity", "new_split")
-    return members.join(chosen, "entity").select("id", "entity", "new_split")
+    return joined(members, durable(chosen), ["entity"]).select("id", "entity", "new_split")
 
 
 def _upto(given: list[tuple[str, int]]) -> list[tuple[str, int, int]]:
@@ -87,10 +93,7 @@ def _upto(given: list[tuple[str, int]]) -> list[tuple[str, int, int]]:
 
 def torn_entities(rows: DataFrame, id_col: str, keys: Sequence[Column], split: Column) -> DataFrame:
     """(``entity``, ``splits``): the entities whose rows lie in more than one split now; rows without one don't count."""
-    have = rows.select(F.col(id_col), split.alias("_split"), *[k.alias(f"_k{i}") for i, k in enumerate(keys)]).filter(F.col("_split").isNotNull())
-    of = groups_of(have, id_col, [F.col(f"_k{i}") for i in range(len(keys))])
-    pairs = of.join(have.select(F.col(id_col).alias("id"), "_split"), "id") if len(keys) > 1 else have.select(
-        F.concat(F.lit("0:"), F.col("_k0").cast("string")).alias("entity"), "_split"
-    ).filter(F.col("entity").isNotNull())
-    per = pairs.groupBy("entity").agg(F.sort_array(F.collect_set("_split")).alias("splits"))
+    have = rows.select(F.struct(F.col(id_col), split.alias("s")).alias("_id"), *[k.alias(f"_k{i}") for i, k in enumerate(keys)]).filter("_id.s is not null")
+    of = groups_of(have, "_id", [F.col(f"_k{i}") for i in range(len(keys))])
+    per = of.groupBy("entity").agg(F.sort_array(F.collect_set("id.s")).alias("splits"))
     return per.filter(F.size("splits") > 1)

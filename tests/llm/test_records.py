@@ -5,7 +5,7 @@ from statistics import median
 import pytest
 from pyspark.sql import functions as F
 
-from tamiz.llm import capping, ranking, splits
+from tamiz.llm import capping, common, ranking, splits
 from tamiz.llm.common import exact_medians, records, source_of, split_of
 
 
@@ -119,3 +119,18 @@ def test_flat_and_missing_scores(spark):
     got = {r["id"]: r["rank"] for r in ranking.best(ranking.combined_scores(df, "id", {"a": 1.0, "b": 1.0})).collect()}
     assert got == {3: 1, 2: 2, 1: 3}
     assert ranking.combined_scores(df.filter("false"), "id", {"a": 1.0}).count() == 0
+
+
+def test_a_table_too_large_to_broadcast_is_salted(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 1)
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(200)], "id long, key string")
+    table = spark.createDataFrame([("hot", 1), ("k0", 2), ("none", 3)], "key string, value int")
+    assert common.joined(rows, table, ["key"]).count() == 134 and common.joined(rows, table, ["key"], "left").filter("value is null").count() == 66
+
+
+def test_the_best_share_ranks_only_what_can_be_in_it(spark):
+    rows = spark.createDataFrame([(f"i{i:04d}", (i * 7919 % 1000) / 1000) for i in range(1000)] + [("z", 0.999), ("a", 0.999)], "id string, combined double")
+    got = [(r["id"], r["rank"]) for r in ranking.best(rows, 0.05).orderBy("rank").collect()]
+    want = sorted(((r["id"], r["combined"]) for r in rows.collect()), key=lambda x: (-x[1], x[0]))[:50]
+    assert got == [(i, k + 1) for k, (i, _) in enumerate(want)]
+    assert ranking.best(rows.filter("false"), 0.05).count() == 0

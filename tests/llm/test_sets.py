@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import unicodedata
@@ -166,3 +167,25 @@ def test_cross_split_overlaps(spark):
     of = {r["key"]: r["n"] for r in sets.collect()}
     assert sorted((of[r["a"]], of[r["b"]], r["common"]) for r in overlap.cross_split_overlaps(sets, 0.75).collect()) in ([(3, 3, 3), (3, 4, 3), (4, 4, 4)], [(3, 3, 3), (4, 3, 3), (4, 4, 4)])
     assert overlap.cross_split_overlaps(sets.filter("false"), 0.75).count() == 0
+
+
+@pytest.mark.parametrize("weights", ["unit", "idf"])
+def test_cosines_are_exact(spark, weights):
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.sample(words, rng.randrange(4, 9))) for _ in range(120)]
+    rows = [(i, i % 2, t) for i, t in enumerate(texts)]
+    sets = postings.word_set_table(spark.createDataFrame(rows, "id long, side int, t string").withColumn("side", F.col("side").cast("byte")), ["id", "side"], ["t"])
+    df = {w: sum(w in t.split() for t in texts) for w in words}
+    weigh = {w: 1.0 if weights == "unit" else math.log1p(len(texts) / max(df[w], 1)) for w in words}
+    norm = lambda t: math.sqrt(sum(weigh[w] ** 2 for w in t.split()))
+    key = {r["id"]: r["key"] for r in sets.select("id", "key").collect()}
+    want = {}
+    for i, _, a in rows:
+        for j, _, b in rows:
+            if i % 2 == 0 and j % 2 == 1:
+                cosine = sum(weigh[w] ** 2 for w in set(a.split()) & set(b.split())) / norm(a) / norm(b)
+                if cosine >= 0.55:
+                    want[min(key[i], key[j]), max(key[i], key[j])] = cosine
+    got = {(r["a"], r["b"]): r["cosine"] for r in overlap.cosine_pairs(sets, 0.55, weights).collect()}
+    assert want and got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-4 for p in want)

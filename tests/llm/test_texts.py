@@ -83,6 +83,19 @@ def test_containers_hold_everything_once(spark):
     assert packing.fill_containers(df.filter("false"), "id", "n", (64,)).count() == 0
 
 
+def test_joint_choice_takes_no_more_space_than_bin_by_bin():
+    rng = np.random.default_rng(3)
+    for capacities in ((512, 1024, 2048), (300, 500), (2048,)):
+        for _ in range(12):
+            sizes = rng.integers(1, capacities[-1] + 1, size=int(rng.integers(1, 400)))
+            alone, joint = packing.pack(sizes, capacities), packing.pack_jointly(sizes, capacities)
+            load = np.bincount(joint[0], weights=sizes, minlength=len(joint[1]))
+            assert (load <= joint[1]).all() and joint[1].sum() <= alone[1].sum() and set(joint[1]) <= set(capacities)
+    # Against the lower bound: many items of mixed sizes leave next to nothing free.
+    sizes = rng.integers(20, 1200, size=20_000)
+    assert packing.pack_jointly(sizes, (2048,))[1].sum() <= 1.003 * -(-int(sizes.sum()) // 2048) * 2048
+
+
 ANSWERS = [
     (None, "empty"), ("", "empty"), (" ​\n", "empty"), ("N/A", "empty"), ("<br>", "empty"), ("...", "empty"), ("Respuesta: ", "empty"), ("(vacío)", "empty"), ("Sí.", None),
     ("Lo siento, no puedo responder a esta pregunta.", "refusal"), ("I'm sorry, but I cannot answer this question.", "refusal"), ("Sin comentarios.", "refusal"),
