@@ -36,6 +36,7 @@ _UNITS = re.compile(r"\b\d+(?:[.,]\d+)?\s*(?:mg|mcg|µg|g|ml|ui|iu|mmol|mmhg|%|h
 _ABBREVIATION = re.compile(r"^\s*[A-ZÁÉÍÓÚÑ0-9]{2,12}\s*[:=–—-]\s")
 _ITEMS = re.compile(r"\s*(?:[,;·•|»›>]|\s[/\-–—]\s|\s{2,}|\t)\s*")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
+_HYPHEN = re.compile(r"\w-\w")
 _LABEL = re.compile(r"^\s*[^\W\d_][^:]{0,28}:\s*")
 #: The languages whose function words are listed, and letters that none of them has.
 LISTED, _UNLISTED = frozenset(("es", "en", "fr", "pt", "it", "de")), re.compile("[ąćčďđěęğıłńňőřśşșšťțůűźżž]")
@@ -82,26 +83,31 @@ def segment_kind(segment: str, short: bool = False) -> int:
         return PROSE
     if sum(w[0] > "\u024f" for w in words) > 0.5 * len(words) and "://" not in segment and "#" not in segment:
         return PROSE  # function words of other scripts aren't known here
-    links, tags = _LINK.findall(segment), _TAG.findall(segment)
+    # Each pattern is tried only on segments with a sign that it needs.
+    digits = any(map(str.isdigit, segment))
+    low = segment.lower()
+    links = _LINK.findall(segment) if "/" in segment or any(x in low for x in _LINK_SIGNS) else ()
+    tags = _TAG.findall(segment) if "#" in segment else ()
+    citation = bool((digits or "et al" in segment) and _CITATION.search(segment))
     if links or tags:
         rest = [w.lower() for w in _WORD.findall(_TAG.sub(" ", _LINK.sub(" ", segment)))]
         marked = len(words) - len(rest)
-        if not _CITATION.search(segment) and (marked >= 0.5 * len(words) or (len(rest) <= 8 and _function_share(rest, short) < 0.34 and marked >= 2)):
+        if not citation and (marked >= 0.5 * len(words) or (len(rest) <= 8 and _function_share(rest, short) < 0.34 and marked >= 2)):
             return SPAM
-    if _CITATION.search(segment) or _LEADER.search(segment) or _NUMBERED.match(segment) or _ABBREVIATION.match(segment):
+    if citation or _LEADER.search(segment) or _NUMBERED.match(segment) or _ABBREVIATION.match(segment):
         return STRUCTURE
-    if _PRICE.search(segment) and (_PRODUCT.search(segment) or (len(words) <= 14 and _function_share(words, short) < 0.3)):
+    if digits and any(x in low for x in _PRICE_SIGNS) and _PRICE.search(segment) and (_PRODUCT.search(segment) or (len(words) <= 14 and _function_share(words, short) < 0.3)):
         return SPAM
-    if "€" not in segment and len(_UNITS.findall(segment)) and "\t" in segment:
+    if "\t" in segment and "€" not in segment and digits and _UNITS.search(segment):
         return STRUCTURE
-    if _PAGE_NUMBER.search(segment) and len(words) <= 14:
+    if digits and len(words) <= 14 and _PAGE_NUMBER.search(segment):
         return STRUCTURE
     share = _function_share(words, short)
     body = _LABEL.sub("", segment, count=1) if ":" in segment[:30] else segment
     items = [n for x in _ITEMS.split(body.strip(" .;,|»")) if (n := len(_WORD.findall(x)))]
     if len(items) >= 4 and sum(items) / len(items) <= 6 and share < 0.27:
         return SPAM
-    joined = [w for w in re.split(r"\s+", body.strip()) if re.search(r"\w-\w", w)]
+    joined = [w for w in body.split() if _HYPHEN.search(w)] if body.count("-") >= 4 else ()
     if len(joined) >= 4 and len(joined) >= 0.6 * len(body.split()):
         return SPAM
     if len(words) <= 12 and segment.rstrip()[-1:] not in ".?!:" and share < 0.3:
