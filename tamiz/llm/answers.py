@@ -55,13 +55,17 @@ EVASIONS = (
     r"(the|an) answer (can ?not|can t) be", r"(that|this|your) (question|query|request) (is|lies|falls) (outside|beyond)", r"no comment$", r"(no puedo|no podria|no podre|i can ?not|i can t)",
 )
 _SAY = "(?:" + "|".join(ABLE + WILL) + r")(?: \w+){0,3}? (?:" + "|".join(ACT) + ")"
-_OUTRIGHT = re.compile(r"\b(?:" + _SAY + "|" + "|".join(OUTRIGHT) + r")\b")
+_OUTRIGHT = re.compile(r"(?:" + _SAY + "|" + "|".join(OUTRIGHT) + r")\b")
 _EVASION = re.compile("(?:(?:" + "|".join(OPENINGS) + r")(?: sobre( \w+){1,8}?)? )*(?:" + "|".join(EVASIONS) + r")\b")
 _SENTENCES = re.compile(r"(?<=[.!?;:…])\s+|\n+")
-#: Words one of which every sentence that declines has; an answer without them isn't parsed.
-_DECLINING = re.compile(
-    r"\b(?:no|not|imposib\w*|impossible|incapa\w*|can ?not|can t|couldn t|won t|don t|doesn t|wouldn t|unable|declin\w*|refus\w*|refrain\w*|absten\w*|abstend\w*|nieg\w*|negar\w*|rechaz\w*|rehus\w*|evit\w*|elud\w*"
-    r"|renunci\w*|carezco|desconozco|ignoro|lenguaje|asistente|artificial|ai|language|comentarios|comment|guidelines|rules|policies|instructions|impiden|permiten|prohiben|delicado|sensible|consult\w*|beyond|outside|excede|escapa|rather|alcance)\b"
+#: Words with which alone what declines outright begins, and words one of which every evasion has; without them no grammar is tried.
+_FIRST = frozenset(
+    """no me nos soy somos i we it prefiero preferimos preferiria prefiriria quisiera debo tengo he declino declinare declinamos rechazo rechazare rehuso
+    rehusare evito evitare evitaremos eludo eludire renuncio renunciare mis las nuestras carezco desconozco ignoro como as my question consulta pregunta""".split()
+)
+_EVASIVE = re.compile(
+    r"\b(?:me (?:es|resulta)|seguro|respuesta no|consult\w*|pregunta|cuestion|comentarios|asunto|tema|puedo|podria|podre|possible|impossible|comment|can|question|query|request"
+    r"|answer|(?:fragmento|texto|contexto|pasaje|documento|extracto|material) (?:\w+ )?no|(?:passage|text|context|excerpt|fragment|document|material) (?:given )?do)"
 )
 #: Function words by language, without accents; those of one language only tell it apart.
 LANGUAGE_WORDS = {
@@ -111,22 +115,19 @@ def is_empty(text: str | None, words: list[str]) -> bool:
 
 
 def is_refusal(text: str, words: list[str]) -> bool:
-    """Declines by the grammar of refusals: a sentence anywhere that declines outright, or sentences that decline by the way
-    and are the first or at least half of the words of the answer, however long it is."""
-    if not _DECLINING.search(" ".join(words)):
-        return False
-    evasive = total = 0
-    for i, sentence in enumerate(_SENTENCES.split(text)):
-        own = tokens(sentence)
-        said = " ".join(own)
-        total += len(own)
-        if _OUTRIGHT.search(said):
+    """Declines by the grammar of refusals: words anywhere that decline outright, or sentences that decline by the way and
+    are the first or at least half of the words of the answer, however long it is."""
+    for i, w in enumerate(words):
+        if w in _FIRST and _OUTRIGHT.match(" ".join(words[i : i + 16])):
             return True
-        if _EVASION.match(said):
-            if not total - len(own):
-                return True
-            evasive += len(own)
-    return evasive > 0 and 2 * evasive >= total
+    said = " ".join(words)
+    if not _EVASIVE.search(said):
+        return False
+    if _EVASION.match(said):
+        return True
+    each = [tokens(sentence) for sentence in _SENTENCES.split(text)]
+    evasive = sum(len(own) for own in each if _EVASION.match(" ".join(own)))
+    return evasive > 0 and 2 * evasive >= len(words)
 
 
 def tiled(words: list[str], of: list[str], least: int = 2) -> int:
