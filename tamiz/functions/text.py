@@ -355,3 +355,13 @@ def html_text(html: Column | str) -> Column:
     for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         out = F.replace(out, F.lit(name), F.lit(char))
     return F.array_join(F.filter(F.transform(F.split(out, "\n"), lambda x: collapse(x)), lambda x: x != ""), "\n")
+
+
+def filename_type(name: Column | str) -> Column:
+    """The document type by the file name alone, for documents without text; ``unknown`` if no pattern fits."""
+    return let(normalize(name), lambda n: cascade([(k, n.rlike(p)) for k, p in lx.FILENAME_TYPES.items()], "unknown"))
+
+
+def tail_words(text: Column | str, n: int) -> Column:
+    """The last ``n`` words, with one space between them; '' without words."""
+    return let(F.split(collapse(text), " "), lambda w: F.array_join(F.slice(w, F.greatest(F.size(w) - n + 1, F.lit(1)), F.lit(n)), " "))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from math import ceil
 
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from tamiz.functions import lexicon as lx
 from tamiz.functions import text as tx
 from tamiz.operators.ordered import ranked
+from tamiz.plans.durable import durable, once
 
 
 def paragraphs(text: Column | str) -> Column:
@@ -42,7 +44,7 @@ def fold(pieces: DataFrame, groups: Sequence[str], order: Sequence[str], page: s
     A chunk is closed before a piece that would take it over ``max_tokens``, and after a page that filled it; if what is
     closed is over the limit, its last ``overlap`` words open the next. Pieces stream through sorted partitions, so a
     group of any length takes no memory; a group is one task's work because each chunk depends on the one before.
-    Only numbers travel: join the text by ``order`` afterwards.
+    Only numbers travel: :func:`chunk_texts` joins the text afterwards.
     """
     keep = [*groups, *order, page, words]
     keep = list(dict.fromkeys(keep))
@@ -79,6 +81,53 @@ def fold(pieces: DataFrame, groups: Sequence[str], order: Sequence[str], page: s
     return sorted_.mapInArrow(run, schema)
 
 
+def chunk_records(
+    pages: DataFrame, source: str, section: str, page: str, key: str, text: str, max_tokens: int = 1200, overlap: int = 80
+) -> DataFrame:
+    """Chunks of up to ``max_tokens``: (source, section, ``chunk``, ``text``, ``pages``, ``token_estimate``, ``clinical_score``, ``quality_flags``).
+
+    Pages of one source and section, in the order of ``page`` and then ``key`` (unique), are cut into paragraphs and packed
+    (see :func:`fold`). A page without a section is of 'Sin seccion', one without a source of the source ''. A chunk over the
+    limit, which only a single long paragraph makes, hands its last ``overlap`` words and its last page to the next; if it is
+    the section's last, these words are a chunk of their own. Pages should be cleaned; white space is collapsed. Sections are
+    folded side by side; a section's own chunks depend on one another, so it is one task's work, of numbers only.
+    """
+    rows = pages.select(
+        F.coalesce(F.col(source), F.lit("")).alias("_source"), F.coalesce(F.nullif(F.col(section), F.lit("")), F.lit("Sin seccion")).alias("_section"),
+        F.coalesce(F.col(page), F.lit(0)).alias("_page"), F.col(key).alias("_key"), F.posexplode(paragraphs(text)).alias("_at", "_t"),
+    )
+    rows = once(rows, _text=tx.collapse("_t")).drop("_t").filter("_text <> ''")
+    rows = durable(once(rows, _words=tx.word_count("_text")))
+    group = ["_source", "_section"]
+    placed = fold(rows.select(*group, "_page", "_key", "_at", "_words"), group, ["_page", "_key", "_at"], "_key", "_words", max_tokens, overlap)
+    of = placed.select(*group, "_key", "_at", "chunk", "carried").join(rows, [*group, "_key", "_at"])
+    one = of.groupBy(*group, "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("_page", "_key", "_at", "_text"))).alias("_l"), F.sum("_words").alias("_words"), F.max("carried").alias("carried")
+    )
+    own = F.array_join(F.transform("_l", lambda x: x._text), " ")
+    one = durable(one.select(
+        *group, "chunk", "carried", "_words", own.alias("_own"), F.transform("_l", lambda x: x._page).alias("_pages"), F.element_at("_l", -1)._page.alias("_last"),
+    ))
+    over = tokens_over(F.col("_words") + F.col("carried"), max_tokens)
+    before = one.filter(over).select(*group, (F.col("chunk") + 1).alias("chunk"), tx.tail_words("_own", overlap).alias("_tail"), F.col("_last").alias("_from")) if overlap else None
+    out = one.select(*group, "chunk", "_own", "_pages")
+    if before is not None:
+        out = out.join(before, [*group, "chunk"], "full")
+    else:
+        out = out.withColumn("_tail", F.lit("")).withColumn("_from", F.lit(None).cast("int"))
+    pages_ = F.filter(F.array_sort(F.array_distinct(F.concat(F.coalesce("_pages", F.array().cast("array<int>")), F.array("_from")))), lambda x: x > 0)
+    out = out.select(
+        F.col("_source").alias(source), F.col("_section").alias(section), "chunk", F.trim(F.concat_ws(" ", "_tail", "_own")).alias("text"), F.array_compact(pages_).alias("pages")
+    )
+    out = once(out, _n=tx.normalize("text"), _w=tx.word_count("text"), _r=tx.reference_ratio("text"))
+    out = once(out, token_estimate=tx.tokens_of(F.col("_w")), clinical_score=tx.clinical_score(F.col("_n"), F.col("_w"), F.col("_r"))).drop("_n", "_w", "_r")
+    return once(out, quality_flags=quality_flags("text", F.col("token_estimate"), F.col("clinical_score")))
+
+
+def tokens_over(words: Column, most: int) -> Column:
+    return tx.tokens_of(words) > most
+
+
 def reject_reason(text: str, tokens: Column, score: Column, min_tokens: int = 180, min_score: int = 4) -> Column:
     """Why a chunk is not accepted, '' if it is; the first rule that holds counts."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -151,17 +200,31 @@ def duplicate_audit(rows: DataFrame, text: str, source: str, order: str) -> Data
 def holdout_sizes(sizes: dict[int, int], target: int, least: int, share: float = 0.75) -> dict[int, int]:
     """How many documents of each size a holdout of about ``target`` chunks takes: always the one that brings it nearest
     (ties: smaller), the first not larger than ``share`` of the target if there is such, until it gets no nearer."""
-    left, taken, total, count = dict(sizes), {}, 0, 0
-    while target > 0 and any(left.values()):
-        pool = [s for s, n in left.items() if n]
-        if not count:
-            pool = [s for s in pool if s <= max(1, round(target * share))] or pool
-        best = min(pool, key=lambda s: (abs(target - total - s), s))
-        if count >= least and count and abs(target - total - best) >= abs(target - total):
+    left, taken, total, count = {s: n for s, n in sizes.items() if n > 0}, {}, 0, 0
+    order = sorted(left)
+
+    def nearest(gap: int, upto: int | None = None) -> int:
+        """The size with documents left that is nearest ``gap`` (ties: smaller), of those up to ``upto`` if there are such."""
+        at = bisect_left(order, gap)
+        near = [s for s in order[max(0, at - 1) : at + 1]]
+        if upto is not None and (low := order[: bisect_right(order, upto)]):
+            near = [s for s in near if s <= upto] or [low[-1]]
+        return min(near, key=lambda s: (abs(gap - s), s))
+
+    while target > 0 and order:
+        best = nearest(target - total, None if count else max(1, round(target * share)))
+        gap = target - total
+        if count >= least and count and abs(gap - best) >= abs(gap):
             break
-        left[best] -= 1
-        taken[best] = taken.get(best, 0) + 1
-        total, count = total + best, count + 1
+        # While the gap stays above the largest size, the largest is always nearest: taken in one run.
+        run = 1
+        if count and best == order[-1] and gap > best:
+            run = max(1, min(left[best], (gap - best) // best if best else 1))
+        left[best] -= run
+        taken[best] = taken.get(best, 0) + run
+        total, count = total + run * best, count + run
+        if not left[best]:
+            del order[bisect_left(order, best)]
     return taken
 
 
@@ -191,9 +254,14 @@ def leakage(rows: DataFrame, document: str, split: str) -> DataFrame:
     return per.filter(F.size("splits") > 1)
 
 
+def hashed(key: str, seed: int) -> Column:
+    """A hash of a key and a seed, the same in every engine."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
 def sample_per_group(rows: DataFrame, group: str, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows of each group, chosen by a hash of ``key`` and the seed (not by position, so reruns agree)."""
-    picked = rows.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
+    picked = rows.withColumn("_h", hashed(key, seed))
     return ranked(picked, [group], [F.col("_h").asc(), F.col(key).asc()], "_rank").filter(F.col("_rank") <= n).drop("_h", "_rank")
 
 
@@ -208,9 +276,27 @@ def stratified_quotas(rows: DataFrame, group: str, n: int) -> DataFrame:
 
 def stratified_sample(rows: DataFrame, group: str, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows: each group's quota by hash order, and what is missing from the other rows by hash order; a surplus is cut by hash."""
-    order = [F.xxhash64(F.lit(seed), F.col(key)).asc(), F.col(key).asc()]
+    order = [hashed(key, seed).asc(), F.col(key).asc()]
     quotas = stratified_quotas(rows, group, n).select(F.col(group).alias("_group"), "quota")
     placed = ranked(rows, [group], order, "_rank").join(quotas, F.col(group).eqNullSafe(F.col("_group")))
     placed = placed.withColumn("_later", (F.col("_rank") > F.col("quota")).cast("int"))
     out = ranked(placed, [], [F.col("_later").asc(), *order], "_place")
     return out.filter(F.col("_place") <= n).select(*rows.columns)
+
+
+def block_split(chunks: DataFrame, document: str, order: list[Column], ratio: float = 0.10, seed: int = 42) -> DataFrame:
+    """``chunks`` with ``split``: of each document's chunks in order every ``round(1 / ratio)``-th is for validation, from an offset that the
+    document and the seed give; a document of one or two chunks is for training alone."""
+    block = max(1, round(1 / ratio))
+    placed = ranked(chunks, [document], order, "_place")
+    sizes = chunks.groupBy(F.col(document).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = placed.join(sizes, F.col(document).eqNullSafe(F.col("_d")))
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(document), F.lit("")))), 1, 8), 16, 10).cast("long") % block
+    chosen = (F.col("_n") > 2) & ((F.col("_place") - 1 + offset) % block == 0)
+    return placed.withColumn("split", F.when(chosen, "validation").otherwise("train")).drop("_d", "_n", "_place")
+
+
+def remove_documents(rows: DataFrame, document: str, removed: DataFrame) -> DataFrame:
+    """``rows`` whose document isn't among ``removed`` (one column of ids)."""
+    ids = removed.select(F.col(removed.columns[0]).alias("_gone")).distinct()
+    return rows.join(ids, F.col(document) == F.col("_gone"), "left_anti")

@@ -35,6 +35,22 @@ def for_language_models(chunks: DataFrame, languages: tuple[str, ...] = ("es", "
     return chunks.filter(keep)
 
 
+def language_matches(text: Column | str, language: Column | str, allowed: tuple[str, ...] = ("es",)) -> Column:
+    """By the language's name if there is one; else a text passes that looks Spanish, if Spanish is allowed, or any text if it isn't."""
+    name = F.lower(F.trim(F.coalesce(F.col(language) if isinstance(language, str) else language, F.lit(""))))
+    return F.when(name != "", name.isin(*allowed)).otherwise(tx.looks_spanish(text) if "es" in allowed else F.lit(True))
+
+
+def of_least_score(chunks: DataFrame, score: str, least: int) -> DataFrame:
+    """Chunks of at least that score (null counts as 0); all if it is not above 0."""
+    return chunks.filter(F.coalesce(F.col(score), F.lit(0)) >= least) if least > 0 else chunks
+
+
+def of_roles(chunks: DataFrame, role: str, allowed: tuple[str, ...] = lx.TRAINING_ROLES) -> DataFrame:
+    """Chunks of the allowed roles; null counts as unknown."""
+    return chunks.filter(F.coalesce(F.col(role), F.lit("unknown")).isin(*allowed))
+
+
 def role_filter_stats(chunks: DataFrame, role: str, allowed: tuple[str, ...] = lx.TRAINING_ROLES) -> DataFrame:
     """(``role``, ``kept``, ``n``): how many chunks of each role a filter by role keeps."""
     own = F.coalesce(F.col(role), F.lit("unknown"))
@@ -69,13 +85,13 @@ def evaluated_inclusion(ocr_ratio: Column, density: Column, pages: Column) -> Co
 
 
 def exclusion_report(inventory: DataFrame, document: str, status: str, reason: str) -> DataFrame:
-    """(``reason``, ``n``, ``rate``, ``documents``) of the excluded documents; the rate is of all documents."""
+    """(``reason``, ``document``, ``n``, ``rate``): a row for each reason with a null document, its number and its rate of all documents,
+    and a row for each excluded document. However many there are, no row holds more than one."""
     total = inventory.agg(F.count(F.lit(1)).alias("_all"))
-    out = inventory.filter(F.col(status).isin("excluded", "excluded_with_reason"))
-    per = out.groupBy(F.coalesce(F.col(reason), F.lit("unknown")).alias("reason")).agg(
-        F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list(document)), ",").alias("documents")
-    )
-    return per.crossJoin(F.broadcast(total)).select("reason", "n", (F.col("n").cast("double") / F.col("_all")).alias("rate"), "documents")
+    out = inventory.filter(F.col(status).isin("excluded", "excluded_with_reason")).select(F.coalesce(F.col(reason), F.lit("unknown")).alias("reason"), F.col(document).alias("document"))
+    per = out.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(total))
+    whole = per.select("reason", F.lit(None).cast("string").alias("document"), "n", (F.col("n").cast("double") / F.col("_all")).alias("rate"))
+    return whole.unionByName(out.select("reason", "document", F.lit(1).cast("long").alias("n"), F.lit(None).cast("double").alias("rate")))
 
 
 def split_topics(rows: DataFrame, topics: str, split: str) -> DataFrame:

@@ -23,6 +23,13 @@ def changed_files(files: DataFrame, state: DataFrame, path: str = "source_path",
     return out.filter(F.col("change").isNotNull()).drop("_path", *[f"_{c}" for c in fields])
 
 
+def bootstrapped(files: DataFrame, pages: DataFrame, key: str) -> DataFrame:
+    """The state with which a first incremental run begins where pages exist already: the fingerprints of those files, by ``key``, that have
+    pages, so that they aren't processed again."""
+    there = pages.select(F.col(key).alias("_k")).filter(F.coalesce(F.col("_k"), F.lit("")) != "").distinct()
+    return files.join(there, F.col(key) == F.col("_k"), "left_semi")
+
+
 def replaced(existing: DataFrame, new: DataFrame, path: str, name: str) -> DataFrame:
     """``new`` and those of ``existing`` whose path and name are both not among its own; blank and null keys match nothing."""
     keys = lambda c: new.select(F.col(c).alias("_k")).filter(F.coalesce(F.col("_k"), F.lit("")) != "").distinct()

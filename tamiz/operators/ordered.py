@@ -51,3 +51,17 @@ def carried_forward(df: DataFrame, groups: Sequence[str], order: Sequence[Column
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_inherited", F.last("_last", ignorenulls=True).over(before))
     return _by_part(rows, parts, groups, ["_inherited"], "left").select(*df.columns, F.coalesce("_own", "_inherited").alias(name))
+
+
+def running_total(df: DataFrame, groups: Sequence[str], order: Sequence[Column], value: str, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over its group's rows up to and including each, in ``order`` (which must be total); null counts as 0.
+
+    Summed within a task's own rows first; what comes before a task is from a table of one row per task and group.
+    """
+    rows = _laid_out(df, groups, order)
+    own = Window.partitionBy("_part", *groups).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_own", F.sum(F.coalesce(F.col(value), F.lit(0))).over(own))
+    parts = rows.groupBy(*groups, "_part").agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias("_sum"))
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_earlier", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+    return _by_part(rows, parts, groups, ["_earlier"], "inner").select(*df.columns, (F.col("_own") + F.col("_earlier")).alias(name))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,16 +85,20 @@ def without_repeated_lines(pages: DataFrame, source: str, page: str, text: str,
     return out.withColumn(text, joined).drop("_source", "_signatures", "_lines", "_kept")
 
 
-def with_sections(pages: DataFrame, source: str, page: str, text: str, name: str = "section") -> DataFrame:
-    """``pages`` with the last heading at or before each page of its source, '' before the first."""
+def with_sections(pages: DataFrame, source: str, order: Sequence[str], text: str, name: str = "section") -> DataFrame:
+    """``pages`` with the last heading at or before each page of its source in ``order`` (which must be total), '' before the first."""
     out = once(pages, _heading=F.nullif(tx.first_heading(text), F.lit("")))
-    out = carried_forward(out, [source], [F.col(page).asc()], "_heading", "_section")
+    out = carried_forward(out, [source], [F.col(c).asc() for c in order], "_heading", "_section")
     return out.withColumn(name, F.coalesce("_section", F.lit(""))).drop("_heading", "_section")
 
 
 def cleaning_report(classified: DataFrame) -> DataFrame:
     """Pages in all, kept, and dropped by reason, in one row each."""
-    total = classified.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_kept").alias("kept"), F.count_if(~F.col("is_kept")).alias("dropped"))
-    counts = total.select(F.expr("stack(3, 'total_pages', n, 'kept_pages', kept, 'dropped_pages', dropped) as (measure, n)"))
-    reasons = classified.filter("not is_kept").groupBy(F.concat(F.lit("drop:"), F.col("drop_reason")).alias("measure")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.unionByName(reasons)
+    # One pass: pages are counted by reason, and the few counts are put together.
+    per = classified.groupBy("drop_reason").agg(F.count(F.lit(1)).alias("n"))
+    kept = F.col("drop_reason") == ""
+    row = lambda m, holds: F.when(holds, F.struct(m.alias("measure"), F.col("n").alias("n")))
+    rows = F.array_compact(F.array(
+        row(F.lit("total_pages"), F.lit(True)), row(F.lit("kept_pages"), kept), row(F.lit("dropped_pages"), ~kept), row(F.concat(F.lit("drop:"), F.col("drop_reason")), ~kept),
+    ))
+    return per.select(F.explode(rows).alias("x")).groupBy("x.measure").agg(F.sum("x.n").alias("n"))

@@ -41,9 +41,9 @@ def grounding(context: Column | str, answer: Column | str) -> Column:
 
 
 def grounding_by_chunk(pairs: DataFrame, chunk: str, context: str, answer: str, low: float = 0.15) -> DataFrame:
-    """(chunk, ``pairs``, ``overlap``, ``low``): the mean overlap of each chunk's pairs, and how many are below ``low``."""
+    """(chunk, ``pairs``, ``overlap``, ``low``): the mean overlap of each chunk's pairs, rounded to four digits, and how many are below ``low``."""
     rows = pairs.select(chunk, grounding(context, answer).alias("_o"))
-    return rows.groupBy(chunk).agg(F.count(F.lit(1)).alias("pairs"), F.avg("_o").alias("overlap"), F.count_if(F.col("_o") < low).alias("low"))
+    return rows.groupBy(chunk).agg(F.count(F.lit(1)).alias("pairs"), (F.floor(F.round(F.avg("_o") * 10000, 6) + 0.5) / 10000).alias("overlap"), F.count_if(F.col("_o") < low).alias("low"))
 
 
 def gated_verdict(verdict: Column, gate: dict[str, float] | None = None) -> Column:
@@ -168,7 +168,10 @@ def nearest(vectors: DataFrame, id_col: str, vector: str, wanted: Column, k: int
     are neither asked nor found; ties go to the lower id. Vectors of one table must have one length.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), wanted.alias("w")).filter(F.size("v") > 0)
-    blocks = blocks or max(2, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if blocks is None:
+        # A block's vectors lie in one task's memory: about 64 MB of them each.
+        size = rows.agg(F.sum(F.size("v")).alias("s")).head()["s"] or 0
+        blocks = max(2, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size * 8 // (64 << 20)))
     stored = rows.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "v")
     asked = rows.filter("w").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "v")
 
@@ -198,22 +201,21 @@ def nearest(vectors: DataFrame, id_col: str, vector: str, wanted: Column, k: int
 
 def generated(chunks: DataFrame, generate: Callable[[dict], list[dict]], columns: Iterable[str], key: str = "chunk_id", attempts: int = 5) -> DataFrame:
     """(key, ``status``, ``pairs``): what a generator gives for each chunk. Statuses ``ok``, ``empty`` and ``refused`` are
-    final, ``failed`` may be tried again. A generator that raises ``PermissionError`` refuses; other errors are tried
-    ``attempts`` times in place."""
+    final, ``failed`` may be tried again. A generator that raises ``PermissionError`` refuses; a ``Retryable`` error (a rate limit, a failure
+    of the service) is tried up to ``attempts`` times with growing pauses, any other fails at once."""
+    from tamiz.operators.evaluation import called
+
     pair = "struct<pregunta:string,respuesta:string,tipo:string,dificultad:string,contexto_fuente:string>"
     names = list(dict.fromkeys([key, *columns]))
 
     def one(row: dict) -> tuple[str, list]:
-        for k in range(attempts):
-            try:
-                pairs = [p for p in generate(row) if str(p.get("pregunta") or "").strip() and str(p.get("respuesta") or "").strip()]
-                return ("ok" if pairs else "empty"), pairs
-            except PermissionError:
-                return "refused", []
-            except Exception:
-                if k == attempts - 1:
-                    return "failed", []
-        return "failed", []
+        try:
+            pairs = [p for p in called(generate, row, attempts) if str(p.get("pregunta") or "").strip() and str(p.get("respuesta") or "").strip()]
+            return ("ok" if pairs else "empty"), pairs
+        except PermissionError:
+            return "refused", []
+        except Exception:  # noqa: BLE001
+            return "failed", []
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -53,3 +53,13 @@ def first_of_equal(tables: DataFrame, signature: list[Column], order: Column) ->
     """One of the tables with equal signature (page, size, place, headers, first row): the first by ``order``."""
     rows = tables.groupBy(F.xxhash64(*signature).alias("_h"), *[s.alias(f"_s{i}") for i, s in enumerate(signature)])
     return rows.agg(F.min_by(F.struct(*tables.columns), order).alias("_row")).select("_row.*")
+
+
+def header(grid: str) -> Column:
+    """The first row of a grid, null without rows."""
+    return F.get(F.col(grid), F.lit(0))
+
+
+def body(grid: str) -> Column:
+    """The rows after the first."""
+    return F.slice(F.col(grid), F.lit(2), F.greatest(F.size(grid) - 1, F.lit(0)))

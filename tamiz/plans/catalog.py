@@ -11,7 +11,7 @@ from tamiz.functions import text as tx
 from tamiz.operators import chunks as ch
 from tamiz.operators import enrich, incremental, pages, qa, tables
 from tamiz.plans import oracle
-from tamiz.plans.durable import checkpoint_dir, durable, once, spread
+from tamiz.plans.durable import durable, once, spread
 from tamiz.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "documents").select("doc_id", "text", "lang", "source", "page"))
 
 
+def _sourced(spark: SparkSession, d: str) -> DataFrame:
+    """Documents; those without a source are of the source ''."""
+    return _documents(spark, d).withColumn("source", F.coalesce("source", F.lit("")))
+
+
 def _records(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     rows = table(spark, d, "raw").filter(F.col("qa_id").isNotNull()).select("qa_id", F.struct(*columns).alias("_v"), "row_no")
     return rows.groupBy("qa_id").agg(F.min_by("_v", "row_no").alias("_v")).select("qa_id", "_v.*")
@@ -271,14 +276,13 @@ def repeated_lines_by_source(spark, d):
 
 @query
 def repeated_lines_removed(spark, d):
-    out = pages.without_repeated_lines(_documents(spark, d).filter("source is not null"), "source", "doc_id", "text", REPEATED)
+    out = pages.without_repeated_lines(_sourced(spark, d), "source", "doc_id", "text", REPEATED)
     return out.select("doc_id", "removed_lines", F.length("text").alias("left_chars"))
 
 
 @query
 def section_carry_forward(spark, d):
-    rows = _documents(spark, d).filter("source is not null")
-    return pages.with_sections(rows, "source", "doc_id", "text").select("doc_id", "section")
+    return pages.with_sections(_sourced(spark, d), "source", ["page", "doc_id"], "text").select("doc_id", "section")
 
 
 @query
@@ -297,22 +301,21 @@ def cleaning_report(spark, d):
     return pages.cleaning_report(pages.classify_pages(_documents(spark, d), "text", "page"))
 
 
-def _pieces(spark, d):
-    rows = _documents(spark, d).filter("source is not null").select("source", "doc_id", F.posexplode(tx.nonblank_lines("text")).alias("at", "line"))
-    return rows.select("source", "doc_id", "at", tx.word_count("line").alias("words"))
+def _chunks(spark, d, overlap):
+    rows = pages.with_sections(_sourced(spark, d), "source", ["page", "doc_id"], "text")
+    out = ch.chunk_records(rows, "source", "section", "page", "doc_id", "text", 300, overlap)
+    return out.select("source", "section", "chunk", F.md5("text").alias("text_md5"), F.array_join("pages", ",").alias("pages"), "token_estimate", "clinical_score", F.array_join("quality_flags", ",").alias("flags"))
 
 
 @query
 def chunk_fold(spark, d):
-    out = ch.fold(_pieces(spark, d), ["source"], ["doc_id", "at"], "doc_id", "words", overlap=0)
-    return out.groupBy("source", "chunk").agg(F.countDistinct("doc_id").alias("pages"), F.count(F.lit(1)).alias("lines"), F.sum("words").cast("long").alias("words"))
+    return _chunks(spark, d, 0)
 
 
 @query
 def chunk_parity_mode(spark, d):
-    out = ch.fold(_pieces(spark, d), ["source"], ["doc_id", "at"], "doc_id", "words")
-    sums = out.groupBy("source", "chunk").agg(F.sum("words").alias("w"), F.max("carried").alias("carried"))
-    return sums.select("source", "chunk", "carried", tx.tokens_of(F.col("w") + F.col("carried")).alias("tokens"))
+    """The same with what a chunk over the limit hands on to the next."""
+    return _chunks(spark, d, 80)
 
 
 @query
@@ -395,7 +398,7 @@ def incremental_upsert(spark, d):
 @query
 def incremental_append_chunks(spark, d):
     """Pages delivered as new chunks beside the given ones."""
-    new = _documents(spark, d).filter("source is not null and text is not null").select("text", F.col("source").alias("source_pdf"), "doc_id")
+    new = _sourced(spark, d).filter("text is not null").select("text", F.col("source").alias("source_pdf"), "doc_id")
     out = incremental.appended(table(spark, d, "chunks").select("chunk_id", "text"), new, "text", "source_pdf", [F.col("doc_id")])
     return out.select("doc_id", "chunk_id")
 
@@ -543,17 +546,21 @@ def generation_statuses(spark, d):
 
 @query
 def streaming_incremental_docs(spark, d):
-    """Documents as a stream of files, upserted by source and read back."""
+    """Documents as a stream of files, several to a source and one file to a batch: first old states of every third source, then all rows in
+    six files. Rows of a source that come in different batches stay together; the old states, of other ids, are replaced."""
     from uuid import uuid4
 
-    from tamiz.streaming.incremental import upsert_by_source
+    from tamiz.streaming.incremental import staging, upsert_by_source
 
-    at = f"{checkpoint_dir(spark)}/stream-{uuid4().hex}"
-    schema = table(spark, d, "documents").schema
-    short = F.substring(F.sha2(F.coalesce("source", F.lit("")), 256), 1, 2)
-    run = upsert_by_source(spark, f"{d}/documents.parquet", schema, f"{at}/table", f"{at}/state", "bucket", lambda df: df.select("doc_id", "source", short.alias("bucket")))
-    run.awaitTermination()
-    return spark.read.schema("doc_id long, source string").parquet(f"{at}/table").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    with staging(spark, keep=True) as at:
+        docs = _documents(spark, d).select("doc_id", "source", F.lit("new").alias("state"))
+        third = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(3)) == 0
+        docs.filter(third).withColumn("state", F.lit("old")).coalesce(1).write.parquet(f"{at}/in/a")
+        docs.repartition(6, "doc_id").write.parquet(f"{at}/in/b")
+        run = upsert_by_source(spark, f"{at}/in", docs.schema, f"{at}/table", f"{at}/state", "source", append="doc_id", files_per_batch=1)
+        run.awaitTermination()
+        rows = durable(spark.read.schema("doc_id long, source string, state string").parquet(f"{at}/table"))
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -567,22 +574,23 @@ def event_windows(spark, d):
 @query
 def pipeline_split_report(spark, d):
     """Pages to splits: cleaned, classified, packed into chunks, accepted, deduplicated and split by document."""
-    kept = durable(pages.classify_pages(_documents(spark, d).filter("source is not null"), "text", "page").filter("is_kept").select("doc_id", "source", "cleaned"))
-    lines = kept.select("source", "doc_id", F.posexplode(tx.nonblank_lines("cleaned")).alias("at", "line"))
-    packed = ch.fold(lines.select("source", "doc_id", "at", tx.word_count("line").alias("words")), ["source"], ["doc_id", "at"], "doc_id", "words", overlap=0)
-    joined = lines.join(packed.select("source", "doc_id", "at", "chunk"), ["source", "doc_id", "at"]).groupBy("source", "chunk")
-    parts = joined.agg(F.sort_array(F.collect_list(F.struct("doc_id", "at", "line"))).alias("l"))
-    rows = parts.select("source", "chunk", F.array_join(F.transform("l", lambda x: x.line), "\n").alias("text"))
-    rows = _scored(rows)
-    good = once(rows, reason=ch.reject_reason("text", F.col("tokens"), F.col("score"), min_score=1)).filter("reason = ''").drop("reason")
-    best = durable(ch.best_of_duplicates(good, "text", [-F.col("score"), -F.col("tokens"), F.col("source"), F.col("chunk")]).select("source", "tokens"))
+    kept = pages.classify_pages(_sourced(spark, d), "text", "page").filter("is_kept").select("doc_id", "source", "page", F.col("cleaned").alias("text"))
+    rows = pages.with_sections(durable(kept), "source", ["page", "doc_id"], "text")
+    rows = ch.chunk_records(rows, "source", "section", "page", "doc_id", "text")
+    good = once(rows, reason=ch.reject_reason("text", F.col("token_estimate"), F.col("clinical_score"), min_score=1)).filter("reason = ''").drop("reason")
+    order = [-F.col("clinical_score"), -F.col("token_estimate"), F.col("source"), F.col("section"), F.col("chunk")]
+    best = durable(ch.best_of_duplicates(good, "text", order).select("source", "token_estimate"))
     split = ch.split_by_document(best, "source", 0.1, 0.1, least=1)
-    return best.join(split.drop("n"), "source").groupBy("split").agg(F.countDistinct("source").alias("documents"), F.count(F.lit(1)).alias("chunks"), F.sum("tokens").alias("tokens"))
+    return best.join(split.drop("n"), "source").groupBy("split").agg(F.countDistinct("source").alias("documents"), F.count(F.lit(1)).alias("chunks"), F.sum("token_estimate").alias("tokens"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from tamiz.plans import more  # noqa: F401  registers its queries
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.sql(REPEATED)
+    from tamiz.plans import more
+
+    return oracle.sql(REPEATED) | more.sql()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,12 +11,19 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where none is set (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``. Where none is set it is an error on a cluster, whose executors share no
+    local folder; a session in one process gets a temporary folder, which goes when the process ends.
+
+    Checkpoints go with the tables that they hold if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
     sc = spark.sparkContext
     if set_ := sc.getCheckpointDir():
         return set_
     if not (path := spark.conf.get("spark.checkpoint.dir", None)):
-        path = "file://" + tempfile.mkdtemp(prefix="tamiz-checkpoint-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="tamiz-checkpoint-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+        path = "file://" + path
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
 

@@ -225,17 +225,11 @@ f AS MATERIALIZED (SELECT *, substring(sample, 1, 500) AS start, {score('n', 'w'
 g AS MATERIALIZED (SELECT *, {types} AS section_type FROM f)"""
     near = norm("text")
     first240 = f"array_to_string(string_split({near}, ' ')[1:240], ' ')"
-    repeats = f"""rl AS MATERIALIZED (SELECT source, doc_id, unnest([{strip('y')} FOR y IN {lines('text')}]) AS line, unnest(range(len({lines('text')}))) AS pos FROM documents WHERE source IS NOT NULL),
+    repeats_of = lambda source, where: f"""rl AS MATERIALIZED (SELECT {source} AS source, doc_id, unnest([{strip('y')} FOR y IN {lines('text')}]) AS line, unnest(range(len({lines('text')}))) AS pos FROM documents WHERE {where}),
 rs AS MATERIALIZED (SELECT *, CASE WHEN length({norm('line')}) < 4 OR {has(norm('line'), '^[0-9]+$')} THEN '' ELSE {norm('line')} END AS signature FROM rl),
 rp AS MATERIALIZED (SELECT source, signature, count(DISTINCT doc_id) AS pages, arg_min(line, doc_id * 1000000 + pos) AS line FROM rs WHERE signature <> '' AND length(line) <= 120 GROUP BY ALL),
-rr AS (SELECT rp.* FROM rp JOIN (SELECT source, count(*) AS n FROM documents GROUP BY 1) t USING (source) WHERE pages >= greatest(3, ceil(n * {repeated}::double)))"""
-    fold = f"""p AS MATERIALIZED (SELECT source, doc_id, w, row_number() OVER (PARTITION BY source ORDER BY doc_id, pos) AS i FROM (
-  SELECT source, doc_id, {words('x')} AS w, pos FROM (SELECT source, doc_id, unnest({nonblank('text')}) AS x, unnest(range(len({nonblank('text')}))) AS pos FROM documents WHERE source IS NOT NULL))),
-f AS (SELECT source, i, doc_id, w, w AS held, 1 AS chunk FROM p WHERE i = 1
-  UNION ALL SELECT p.source, p.i, p.doc_id, p.w, CASE WHEN x THEN p.w ELSE held + p.w END, chunk + x::int FROM (
-    SELECT p.*, f.held, f.chunk, (p.doc_id <> f.doc_id AND greatest(1, ceil(f.held * 1.35::double)) >= 1200) OR greatest(1, ceil((f.held + p.w) * 1.35::double)) > 1200 AS x
-    FROM f JOIN p ON p.source = f.source AND p.i = f.i + 1) p)"""
-    heads = f"h AS MATERIALIZED (SELECT doc_id, source, [z FOR z IN ({lines('text')})[1:10] IF {heading('z')} AND NOT {among(norm('z'), lx.INDEX_TERMS)}][1] AS hd FROM documents WHERE source IS NOT NULL)"
+rr AS (SELECT rp.* FROM rp JOIN (SELECT {source} AS source, count(*) AS n FROM documents GROUP BY 1) t USING (source) WHERE pages >= greatest(3, ceil(n * {repeated}::double)))"""
+    heads = f"h AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, page, [z FOR z IN ({lines('text')})[1:10] IF {heading('z')} AND NOT {among(norm('z'), lx.INDEX_TERMS)}][1] AS hd FROM documents)"
     w240 = "array_to_string(string_split(trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9áéíóúüñ]', ' ', 'g'), ' +', ' ', 'g')), ' ')[1:240], ' ')"
     low_ws = f"array_to_string(string_split(lower(trim(regexp_replace(t, {q(tx.WS + '+')}, ' ', 'g'))), ' ')[1:240], ' ')"
     gate = " OR ".join(f"coalesce({c} < {v}, false)" for c, v in lx.QUALITY_GATE.items())
@@ -292,21 +286,21 @@ SELECT old_id, s || '_' || lpad((row_number() OVER (PARTITION BY s ORDER BY p, o
 SELECT model, pairs, input_tokens, pairs * {lx.OUTPUT_TOKENS_PER_PAIR} AS output_tokens, (input_tokens * i + pairs * {lx.OUTPUT_TOKENS_PER_PAIR} * o) / 1e6::double AS cost FROM s, (VALUES {prices}) p(model, i, o)""",
         "build_report_distributions": "SELECT 'pdf_id' AS dimension, pdf_id AS value, count(*) AS n FROM chunks GROUP BY ALL UNION ALL SELECT 'doc_type', doc_type, count(*) FROM chunks GROUP BY ALL UNION ALL SELECT 'content_role', content_role, count(*) FROM chunks GROUP BY ALL UNION ALL SELECT 'language', coalesce(language, 'unknown'), count(*) FROM chunks GROUP BY ALL UNION ALL SELECT 'topic', t, count(*) FROM (SELECT unnest(topics) AS t FROM chunks) GROUP BY ALL",
         "lm_record_validation": "SELECT chunk_id, 'empty text' AS error FROM chunks WHERE trim(coalesce(text, '')) = '' UNION ALL SELECT chunk_id, 'missing section' FROM chunks WHERE section IS NULL UNION ALL SELECT chunk_id, 'missing language' FROM chunks WHERE language IS NULL",
-        "repeated_lines_by_source": f"WITH {repeats} SELECT source, signature, line, pages FROM rr",
-        "repeated_lines_removed": f"""WITH {repeats}, x AS MATERIALIZED (SELECT doc_id, source, unnest({lines('text')}) AS line, unnest(range(len({lines('text')}))) AS pos, len({lines('text')}) AS n FROM documents WHERE source IS NOT NULL),
+        "repeated_lines_by_source": f"WITH {repeats_of('source', 'source IS NOT NULL')} SELECT source, signature, line, pages FROM rr",
+        "repeated_lines_removed": f"""WITH {repeats_of("coalesce(source, '')", 'true')}, x AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, unnest({lines('text')}) AS line, unnest(range(len({lines('text')}))) AS pos, len({lines('text')}) AS n FROM documents),
 y AS MATERIALIZED (SELECT x.*, rr.signature IS NOT NULL AS gone FROM x LEFT JOIN rr ON x.source = rr.source AND rr.signature = CASE WHEN length({norm('x.line')}) < 4 OR {has(norm('x.line'), '^[0-9]+$')} THEN '' ELSE {norm('x.line')} END WHERE NOT (pos = n - 1 AND x.line = '')),
 z AS (SELECT doc_id, count(*) FILTER (gone) AS removed, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS t FROM y GROUP BY 1)
-SELECT d.doc_id, coalesce(removed, 0)::int AS removed_lines, length(coalesce({strip("regexp_replace(t, '\\n{3,}', chr(10) || chr(10), 'g')")}, ''))::int AS left_chars FROM documents d LEFT JOIN z USING (doc_id) WHERE source IS NOT NULL""",
-        "section_carry_forward": f"WITH {heads} SELECT doc_id, coalesce(last_value(nullif({sub('hd', '^[ :-]+|[ :-]+$')}, '') IGNORE NULLS) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS section FROM h",
+SELECT d.doc_id, coalesce(removed, 0)::int AS removed_lines, length(coalesce({strip("regexp_replace(t, '\\n{3,}', chr(10) || chr(10), 'g')")}, ''))::int AS left_chars FROM documents d LEFT JOIN z USING (doc_id)""",
+        "section_carry_forward": f"WITH {heads} SELECT doc_id, coalesce(last_value(nullif({sub('hd', '^[ :-]+|[ :-]+$')}, '') IGNORE NULLS) OVER (PARTITION BY source ORDER BY page, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS section FROM h",
         "page_classification": f"WITH {page_sql()} SELECT doc_id, char_count, word_count, line_count, clinical_score, reference_marker_count, drop_reason FROM pages",
         "page_drop_histogram": f"WITH {page_sql()} SELECT drop_reason, count(*) AS n FROM pages GROUP BY 1",
         "cleaning_report": f"WITH {page_sql()} SELECT 'total_pages' AS measure, count(*) AS n FROM pages UNION ALL SELECT 'kept_pages', count(*) FILTER (drop_reason = '') FROM pages UNION ALL SELECT 'dropped_pages', count(*) FILTER (drop_reason <> '') FROM pages UNION ALL SELECT 'drop:' || drop_reason, count(*) FROM pages WHERE drop_reason <> '' GROUP BY 1",
-        "chunk_fold": f"WITH RECURSIVE {fold} SELECT source, chunk, count(DISTINCT doc_id) AS pages, count(*) AS lines, sum(w)::bigint AS words FROM f GROUP BY ALL",
         "inclusion_status": f"""SELECT pdf_id, CASE WHEN page_count < 3 THEN 'empty' WHEN file_size < 1024 THEN 'corrupted' WHEN coalesce(text_sample, '') <> '' AND {count('text_sample', chr(10) + chr(10))}::double / greatest(1, length(text_sample)) > 0.8 THEN 'empty'
   WHEN length(coalesce(text_sample, '')) > 200 AND {sample_markers} < 3 THEN 'wrong_language' END AS reason,
 CASE WHEN coalesce(page_count, 0) = 0 THEN 'unknown' WHEN coalesce(needs_ocr_pages, 0) = 0 THEN 'clean' WHEN needs_ocr_pages::double / page_count <= 0.2 THEN 'minor' WHEN needs_ocr_pages::double / page_count <= 0.5 THEN 'needs_ocr' ELSE 'dominated' END AS ocr FROM inventory""",
         "inclusion_evaluated": "SELECT pdf_id, CASE WHEN ocr_status.ocr_ratio > 0.5 THEN 'ocr_dominated' WHEN clinical_term_ratio < 0.1 THEN 'low_clinical_density' WHEN page_count < 3 THEN 'empty' END AS reason FROM inventory",
-        "exclusion_report": "SELECT coalesce(exclusion_reason, 'unknown') AS reason, count(*) AS n, count(*)::double / (SELECT count(*) FROM inventory) AS rate, string_agg(pdf_id, ',' ORDER BY pdf_id) AS documents FROM inventory WHERE inclusion_status IN ('excluded', 'excluded_with_reason') GROUP BY 1",
+        "exclusion_report": """WITH x AS (SELECT coalesce(exclusion_reason, 'unknown') AS reason, pdf_id FROM inventory WHERE inclusion_status IN ('excluded', 'excluded_with_reason'))
+SELECT reason, NULL::varchar AS document, count(*) AS n, count(*)::double / (SELECT count(*) FROM inventory) AS rate FROM x GROUP BY 1 UNION ALL SELECT reason, pdf_id, 1, NULL FROM x""",
         "manifest_histograms": "SELECT 'doc_type' AS dimension, doc_type AS value, count(*) AS n FROM inventory GROUP BY ALL UNION ALL SELECT 'ocr', ocr_status.status, count(*) FROM inventory GROUP BY ALL",
         "excluded_pages_antijoin": "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM inventory i WHERE i.source_pdf = d.source AND inclusion_status IN ('excluded', 'excluded_with_reason'))",
         "page_manifest_join": "SELECT doc_id, pdf_id, doc_type, inclusion_status, ocr_status.status AS ocr FROM documents d LEFT JOIN inventory i ON i.source_pdf = d.source",
@@ -315,11 +309,11 @@ CASE WHEN coalesce(page_count, 0) = 0 THEN 'unknown' WHEN coalesce(needs_ocr_pag
         "incremental_changed_files": "SELECT i.source_path, CASE WHEN p.source_path IS NULL THEN 'new' ELSE 'changed' END AS change FROM inventory i LEFT JOIN processed_files p USING (source_path) WHERE p.source_path IS NULL OR p.file_size IS DISTINCT FROM i.file_size",
         "manifest_upsert": "SELECT source_path, file_size, 0::bigint AS mtime_ns FROM inventory UNION ALL SELECT source_path, file_size, mtime_ns FROM processed_files WHERE source_path NOT IN (SELECT source_path FROM inventory)",
         "incremental_upsert": "WITH c AS (SELECT i.source_pdf FROM inventory i LEFT JOIN processed_files p USING (source_path) WHERE p.source_path IS NULL OR p.file_size IS DISTINCT FROM i.file_size), x AS (SELECT source, CASE WHEN source IN (SELECT source_pdf FROM c) THEN 'new' ELSE 'old' END AS batch FROM documents) SELECT batch, count(*) AS n, count(DISTINCT source) AS sources FROM x GROUP BY 1",
-        "incremental_append_chunks": f"""WITH b AS (SELECT doc_id, text, source, {first240} AS k, {w240} AS k2 FROM documents WHERE source IS NOT NULL AND text IS NOT NULL AND trim(regexp_replace(text, {q(tx.WS + '+')}, ' ', 'g')) <> ''),
+        "incremental_append_chunks": f"""WITH b AS (SELECT doc_id, text, coalesce(source, '') AS source, {first240} AS k, {w240} AS k2 FROM documents WHERE text IS NOT NULL AND trim(regexp_replace(text, {q(tx.WS + '+')}, ' ', 'g')) <> ''),
 f AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id) = 1), g AS (SELECT * FROM f WHERE k2 <> '' AND k2 NOT IN (SELECT {w240} FROM chunks WHERE coalesce(text, '') <> '') QUALIFY row_number() OVER (PARTITION BY k2 ORDER BY doc_id) = 1),
 m AS (SELECT regexp_extract(chunk_id, '^(.+)_([0-9]{{5}})$', 1) AS s, max(regexp_extract(chunk_id, '^(.+)_([0-9]{{5}})$', 2)::bigint) AS top FROM chunks GROUP BY 1), h AS (SELECT doc_id, {stem('source')} AS s FROM g), j AS (SELECT doc_id, {slug} AS s FROM h)
 SELECT doc_id, j.s || '_' || lpad((row_number() OVER (PARTITION BY j.s ORDER BY doc_id) + coalesce(top, 0))::varchar, 5, '0') AS chunk_id FROM j LEFT JOIN m ON j.s = m.s""",
-        "grounding_overlap": f"WITH {records('chunk_id', 'contexto_fuente', 'respuesta')}, o AS (SELECT chunk_id, {grounded} AS o FROM r) SELECT chunk_id, count(*) AS pairs, avg(o) AS overlap, count(*) FILTER (o < 0.15) AS low FROM o GROUP BY 1",
+        "grounding_overlap": f"WITH {records('chunk_id', 'contexto_fuente', 'respuesta')}, o AS (SELECT chunk_id, {grounded} AS o FROM r) SELECT chunk_id, count(*) AS pairs, floor(round(avg(o) * 10000, 6) + 0.5) / 10000 AS overlap, count(*) FILTER (o < 0.15) AS low FROM o GROUP BY 1",
         "quality_gate": f"WITH {records('faithfulness', 'answer_relevancy', 'roundtrip_consistency', 'quality_verdict')} SELECT qa_id, CASE WHEN {gate} THEN 'reject' WHEN lower(trim(quality_verdict)) IN ('accept', 'reject') THEN lower(trim(quality_verdict)) ELSE 'reject' END AS verdict FROM r",
         "qa_ids": f"WITH {records('chunk_id')} SELECT qa_id, chunk_id || '_qa_' || lpad((row_number() OVER (PARTITION BY chunk_id ORDER BY qa_id))::varchar, 3, '0') AS new_id FROM r",
         "grounded_variant": f"WITH {records('pregunta', 'respuesta', 'contexto_fuente')} SELECT qa_id, {message.format(u=asked)} AS messages FROM r",
@@ -344,7 +338,5 @@ count(*) FILTER (regexp_matches(lower(coalesce(respuesta, '')), '\\b(el fragment
         "semantic_similarity_topk": "WITH v AS (SELECT vec_id, embedding::double[] AS e FROM embeddings), p AS (SELECT a.vec_id AS query, b.vec_id AS neighbour, list_cosine_similarity(a.e, b.e) AS s FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id) SELECT query, neighbour, row_number() OVER (PARTITION BY query ORDER BY s DESC, neighbour) AS rank FROM p QUALIFY rank <= 5",
         "streaming_incremental_docs": "SELECT source, count(*) AS n FROM documents GROUP BY 1",
         "event_windows": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
-        "split_report": "",
     }
-    out.pop("split_report")
     return out

@@ -61,9 +61,50 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return int(seen.get["n"])
 
 
-def discover(spark: SparkSession, path: str, pattern: str = "*.pdf", recursive: bool = True) -> DataFrame:
-    """(``source_path``, ``source_pdf``, ``file_size``, ``mtime_ns``) of the files below a path, without reading them."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).load(path)
+def read_splits(spark: SparkSession, paths: dict[str, str], schema: str | T.StructType) -> DataFrame:
+    """The JSON lines of several splits as one table with ``split``; a split whose file is missing is an error that names it."""
+    out = None
+    for split, path in paths.items():
+        if not exists(spark, path):
+            raise FileNotFoundError(f"split {split}: {path}")
+        rows = read_jsonl(spark, path, schema).withColumn("split", F.lit(split))
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise ValueError("no splits named")
+    return out
+
+
+def write_report(measures: DataFrame, path: str, measure: str = "measure", key: str = "key", value: str = "value") -> None:
+    """A report of named measures as one indented JSON document, names ascending: a measure with keys is an object, one whose only key is ''
+    a number. Meant for reports, whose rows are few; they come to the driver."""
+    import json
+
+    out: dict = {}
+    for r in measures.select(measure, key, value).collect():
+        v = int(r[2]) if r[2] is not None and float(r[2]).is_integer() else r[2]
+        if r[1] in ("", None):
+            out[r[0]] = v
+        else:
+            out.setdefault(r[0], {})[r[1]] = v
+    _write_text(measures.sparkSession, path, json.dumps(out, ensure_ascii=False, indent=2, sort_keys=True) + "\n")
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def discover(spark: SparkSession, path: str, pattern: str = "*.pdf", recursive: bool = True, files: Sequence[str] | None = None) -> DataFrame:
+    """(``source_path``, ``source_pdf``, ``file_size``, ``mtime_ns``) of the files below a path, without reading them; ``files`` named one by one
+    take the place of the path and its pattern."""
+    reader = spark.read.format("binaryFile")
+    if files is not None:
+        files = reader.load(list(files)) if files else reader.option("pathGlobFilter", "-none-").load(path)
+    else:
+        files = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).load(path)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     return files.select(F.col("path").alias("source_path"), name.alias("source_pdf"), F.col("length").alias("file_size"), (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"))
 

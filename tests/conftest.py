@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", "file://" + str(tmp_path_factory.mktemp("checkpoint"))).getOrCreate()
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").config("spark.checkpoint.dir", "file://" + str(tmp_path_factory.mktemp("checkpoint"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
