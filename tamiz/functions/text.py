@@ -20,6 +20,8 @@ WORD = r"[\p{L}\p{N}_]+"
 LETTER = "A-Za-zÁÉÍÓÚÜÑáéíóúüñ"
 URL = rf"(?i)https?://{NWS}+|www\.{NWS}+"
 BROKEN_URL = rf"(?i)https?{WS}*:{WS}*/{WS}*/{WS}*{NWS}+|www{WS}*\.{WS}*{NWS}+"
+#: What no link, whole or broken, is without.
+LINK_SIGN = r"(?i)http|www"
 DOI = rf"(?i)\b(?:doi{WS}*:?{WS}*)?10\.[0-9]{{4,9}}/{NWS}+"
 EMAIL = r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)+"
 PHONE = r"(?i)\b(?:tel(?:e?fono)?|fax|lada sin costo|conmutador)\b|(?:\+?[0-9]{1,3}[ \t-]?)?(?:\(?[0-9]{2,4}\)?[ \t-]?){2,}[0-9]{2,4}"
@@ -87,11 +89,15 @@ def plain(text: Column | str) -> Column:
 
 def normalize(text: Column | str) -> Column:
     """For comparing: no accents, lower case, words of a-z and 0-9 with one space between them; null gives ''."""
-    return normalize_plain(plain(text))
+    bare = F.regexp_replace(F.coalesce(_col(text), F.lit("")), r"\p{M}+", "")
+    return _words(F.translate(bare, ACCENTED + COMPATIBLE, UNACCENTED + ASCII))
 
 
 def normalize_plain(without_accents: Column) -> Column:
-    out = F.translate(without_accents, COMPATIBLE, ASCII)
+    return _words(F.translate(without_accents, COMPATIBLE, ASCII))
+
+
+def _words(out: Column) -> Column:
     for a, b in LIGATURES:
         out = F.replace(out, F.lit(a), F.lit(b))
     return F.trim(F.regexp_replace(F.lower(out), "[^a-z0-9]+", " "))
@@ -149,8 +155,10 @@ def any_of(text: Column, terms: Iterable[str]) -> Column:
 def is_noise(line: Column, bare: Column, normal: Column) -> Column:
     """Whether a line is contact data, credits, a reference or such; ``bare`` and ``normal`` are its plain and normalised forms."""
     person = line.rlike(SURNAME) & (token_count(line) > 5) & ~any_of(normal, lx.CLINICAL_TERMS)
+    # Each pattern only where the line has what it can't do without.
+    link, at, ten = line.rlike(LINK_SIGN), F.contains(line, F.lit("@")), F.contains(line, F.lit("10."))
     return (
-        normal.isin(*lx.DROP_HEADINGS) | line.rlike(BROKEN_URL) | line.rlike(URL) | line.rlike(EMAIL) | line.rlike(DOI) | bare.rlike(PHONE)
+        normal.isin(*lx.DROP_HEADINGS) | (link & (line.rlike(BROKEN_URL) | line.rlike(URL))) | (at & line.rlike(EMAIL)) | (ten & line.rlike(DOI)) | bare.rlike(PHONE)
         | bare.rlike(ADMIN) | (line.rlike(r"^ *[0-9]{1,3}\. +") & bare.rlike(REFERENCE)) | person
     )
 
@@ -207,10 +215,11 @@ def reference_ratio(text: Column | str) -> Column:
 
 def reference_markers(text: Column | str) -> Column:
     t, p = F.coalesce(_col(text), F.lit("")), plain(text)
-    return (
-        F.regexp_count(p, F.lit(REFERENCE)) + F.regexp_count(t, F.lit(URL)) + F.regexp_count(t, F.lit(BROKEN_URL)) + F.regexp_count(t, F.lit(DOI))
-        + F.regexp_count(p, F.lit(r"(?i)\b(?:referencias|bibliografia)\b"))
-    )
+    zero = F.lit(0)
+    links = F.when(t.rlike(LINK_SIGN), F.regexp_count(t, F.lit(URL)) + F.regexp_count(t, F.lit(BROKEN_URL))).otherwise(zero)
+    dois = F.when(F.contains(t, F.lit("10.")), F.regexp_count(t, F.lit(DOI))).otherwise(zero)
+    words = let(p, lambda x: F.regexp_count(x, F.lit(REFERENCE)) + F.regexp_count(x, F.lit(r"(?i)\b(?:referencias|bibliografia)\b")))
+    return words + links + dois
 
 
 def suspicious_ratio(text: Column | str) -> Column:
