@@ -51,8 +51,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def p2_assigned(spark: SparkSession, d: str) -> DataFrame:
     """The new split of every record."""
     ratios = {r["split"]: r["ratio"] for r in table(spark, d, "split_targets").orderBy(F.col("ratio").desc(), "split").collect()}
-    rows = durable(_source_and_split(spark, d))
-    out = splits.assign_splits(rows, "qa_id", _entity_keys(), ratios)
+    out = splits.assign_splits(_source_and_split(spark, d), "qa_id", _entity_keys(), ratios)
     return out.select(F.col("id").alias("qa_id"), F.expr("substring(entity, instr(entity, ':') + 1)").alias("pdf_id"), "new_split")
 
 

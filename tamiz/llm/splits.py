@@ -23,7 +23,7 @@ def groups_of(rows: DataFrame, id_col: str, keys: Sequence[Column]) -> DataFrame
     """
     named = [F.concat(F.lit(f"{i}:"), k.cast("string")) for i, k in enumerate(keys)]
     first = F.coalesce(*named, F.concat(F.lit("id:"), F.to_json(F.struct(id_col))))
-    base = rows.select(F.col(id_col).alias("id"), first.alias("_key"), F.array_compact(F.array(*named)).alias("_keys"))
+    base = durable(rows.select(F.col(id_col).alias("id"), first.alias("_key"), F.array_compact(F.array(*named)).alias("_keys")))
     edges = base.filter(F.size("_keys") > 1).select("_key", F.explode(F.slice("_keys", 2, len(keys))).alias("other"))
     moved = components(edges).filter("node <> root")
     # A key of the last number is a row's first only if all others are null.
