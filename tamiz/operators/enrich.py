@@ -11,7 +11,8 @@ from tamiz.plans.durable import once
 
 
 def enriched(chunks: DataFrame, text: str, section: str) -> DataFrame:
-    """``chunks`` with ``section_type``, ``content_role``, ``language``, ``topics`` and ``topic_count``, replacing columns of these names."""
+    """``chunks`` with ``section_type``, ``content_role``, ``language``, ``topics``, ``topic_tags`` (the same) and ``topic_count``, replacing columns of
+    these names, and with ``pdf_id`` from ``source_pdf`` where it is missing."""
     t = F.coalesce(F.col(text), F.lit(""))
     sample = F.substring(t, 1, 500)
     out = once(
@@ -24,7 +25,10 @@ def enriched(chunks: DataFrame, text: str, section: str) -> DataFrame:
         out, content_role=tx.content_role(F.col("_opening"), F.col("section_type"), F.col("_score")), language=tx.detect_language(F.substring(t, 1, 4000)),
         topics=tx.topics(F.col("_norm")),
     )
-    return out.withColumn("topic_count", F.size("topics")).drop("_norm", "_head", "_sample", "_opening", "_words", "_refs", "_few", "_srefs", "_score", "_first")
+    if "source_pdf" in chunks.columns:
+        own = F.nullif(F.col("pdf_id"), F.lit("")) if "pdf_id" in chunks.columns else F.lit(None).cast("string")
+        out = out.withColumn("pdf_id", F.coalesce(own, tx.slugify("source_pdf")))
+    return out.withColumn("topic_tags", F.col("topics")).withColumn("topic_count", F.size("topics")).drop("_norm", "_head", "_sample", "_opening", "_words", "_refs", "_few", "_srefs", "_score", "_first")
 
 
 def for_language_models(chunks: DataFrame, languages: tuple[str, ...] = ("es", "unknown")) -> DataFrame:

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from tamiz.functions import lexicon as lx
 from tamiz.functions import text as tx
 from tamiz.operators import chunks as ch
-from tamiz.operators import duplicates, enrich, evaluation, extraction, incremental, qa, records, reports, tables
+from tamiz.operators import duplicates, enrich, evaluation, extraction, incremental, pages, qa, records, reports, tables
 from tamiz.plans import oracle as o
 from tamiz.plans.catalog import _documents, _records, _sourced, _split, query
-from tamiz.plans.durable import spread
+from tamiz.plans.durable import durable, spread
+from tamiz.sources import files
 from tamiz.sources.files import table
-from tamiz.streaming.incremental import progress
+from tamiz.streaming.incremental import progress, resumable, staging
 
 SQL: dict[str, Callable[[], str]] = {}
 
@@ -293,8 +294,8 @@ def text_samples(spark, d):
 
 @expects("SELECT pdf_id, count(*) AS page_count, count(*) FILTER (p.needs_ocr) AS needs_ocr_pages, sum(p.char_count)::bigint AS chars FROM (SELECT pdf_id, unnest(page_ocr_status) AS p FROM inventory) GROUP BY 1")
 def document_roll_up(spark, d):
-    pages = table(spark, d, "inventory").select("pdf_id", F.explode("page_ocr_status").alias("p")).select("pdf_id", "p.*", F.lit("primary").alias("extraction_method"))
-    return extraction.document_roll_up(pages, "pdf_id").select("pdf_id", "page_count", "needs_ocr_pages", "chars")
+    each = table(spark, d, "inventory").select("pdf_id", F.explode("page_ocr_status").alias("p")).select("pdf_id", "p.*", F.lit("primary").alias("extraction_method"))
+    return extraction.document_roll_up(each, "pdf_id").select("pdf_id", "page_count", "needs_ocr_pages", "chars")
 
 
 @expects(lambda: f"SELECT doc_id, array_to_string([z FOR z IN [trim({o.sub('y', tx.WS + '+', ' ')}) FOR y IN string_split(coalesce(text, ''), chr(10))] IF z <> ''], chr(10)) AS text FROM documents")
@@ -305,6 +306,89 @@ def html_text(spark, d):
     return _documents(spark, d).select("doc_id", tx.html_text(page).alias("text"))
 
 
+# ---- pages ----
+@expects(lambda: f"WITH {o.page_sql()} SELECT doc_id, CASE WHEN char_count < 180 AND length(coalesce(text, '')) < 150 THEN 'needs_ocr' ELSE drop_reason END AS drop_reason FROM pages JOIN documents USING (doc_id)")
+def page_ocr_override(spark, d):
+    """Short pages count as in need of OCR, whatever else would drop them."""
+    rows = _documents(spark, d).withColumn("needs_ocr", F.length(F.coalesce("text", F.lit(""))) < 150)
+    return pages.classify_pages(rows, "text", "page", "needs_ocr").select("doc_id", "drop_reason")
+
+
+@expects(lambda: f"WITH {o.page_sql()} SELECT coalesce(source, '') AS source, count(*) AS pages, count(*) FILTER (drop_reason = '') AS kept FROM pages GROUP BY 1")
+def kept_by_source(spark, d):
+    out = pages.classify_pages(_sourced(spark, d), "text", "page")
+    return out.groupBy("source").agg(F.count(F.lit(1)).alias("pages"), F.count_if("is_kept").alias("kept"))
+
+
+@expects(lambda: f"WITH {o.page_sql()} SELECT doc_id FROM pages WHERE drop_reason = ''")
+def kept_pages(spark, d):
+    return pages.classify_pages(_documents(spark, d), "text", "page").filter("is_kept").select("doc_id")
+
+
+# ---- files: written below the staging folder, and read back ----
+@expects("SELECT chunk_id, section, token_estimate, array_to_string(pages, ',') AS pages FROM chunks")
+def jsonl_roundtrip(spark, d):
+    rows = table(spark, d, "chunks").select("chunk_id", "section", "token_estimate", "pages")
+    with staging(spark) as at:
+        files.write_jsonl(rows, f"{at}/chunks")
+        back = files.read_jsonl(spark, f"{at}/chunks", rows.schema)
+        return durable(back.withColumn("pages", F.array_join("pages", ",")))
+
+
+@expects("SELECT 'written' AS step, count(*) AS n FROM chunks WHERE token_estimate >= 400 UNION ALL SELECT 'appended', count(*) FROM chunks WHERE token_estimate < 400 UNION ALL SELECT 'read', count(*) FROM chunks WHERE token_estimate IS NOT NULL")
+def jsonl_append(spark, d):
+    """Rows counted while they are written and appended, and when they are read."""
+    rows = table(spark, d, "chunks").select("chunk_id", "token_estimate")
+    with staging(spark) as at:
+        first = files.write_jsonl(rows.filter("token_estimate >= 400"), f"{at}/chunks")
+        second = files.write_jsonl(rows.filter("token_estimate < 400"), f"{at}/chunks", "append")
+        n = files.read_jsonl(spark, f"{at}/chunks", rows.schema).count()
+    return spark.createDataFrame([("written", first), ("appended", second), ("read", n)], "step string, n long")
+
+
+@expects("SELECT DISTINCT chunk_id FROM raw WHERE row_no % 10 <> 0 AND trim(coalesce(chunk_id, '')) <> ''")
+def tolerant_ids(spark, d):
+    """The ids in JSON lines every tenth of which is cut short; and none from a file that isn't there."""
+    rows = table(spark, d, "raw").select("row_no", F.to_json(F.struct("chunk_id", "pregunta")).alias("j"))
+    lines = rows.select(F.when(F.col("row_no") % 10 == 0, F.expr("substring(j, 1, length(j) - 3)")).otherwise(F.col("j")).alias("value"))
+    with staging(spark) as at:
+        lines.write.text(f"{at}/lines")
+        return durable(files.processed_ids(spark, f"{at}/lines").unionByName(files.processed_ids(spark, f"{at}/none")))
+
+
+@expects(lambda: f"SELECT {o.split_of('split')} AS split, count(*) AS n FROM raw WHERE {o.split_of('split')} IS NOT NULL GROUP BY 1")
+def splits_read(spark, d):
+    """Three files of JSON lines, one for each split, read as one table."""
+    rows = table(spark, d, "raw").select("qa_id", "pregunta", _split().alias("split")).filter("split is not null")
+    with staging(spark) as at:
+        paths = {}
+        for s in reports.SPLITS:
+            paths[s] = f"{at}/{s}"
+            files.write_jsonl(rows.filter(F.col("split") == s).drop("split"), paths[s])
+        return durable(files.read_splits(spark, paths, "qa_id string, pregunta string").groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+
+
+@expects("SELECT count(*) AS chunks, count(DISTINCT pdf_id) AS documents FROM chunks")
+def report_roundtrip(spark, d):
+    """A report written as one JSON document, and read."""
+    chunks = table(spark, d, "chunks")
+    with staging(spark) as at:
+        files.write_report(reports.measures(chunks, {"chunks": F.count(F.lit(1)), "documents": F.countDistinct("pdf_id")}), f"{at}/report.json")
+        return durable(files.read_json(spark, f"{at}/report.json", "chunks long, documents long"))
+
+
+@expects("SELECT chunk_id, 'ok' AS status FROM chunks")
+def resumable_run(spark, d):
+    """Chunks in several files, some chunks in more than one, worked on once each; a second run finds nothing to do."""
+    rows = table(spark, d, "chunks").select("chunk_id")
+    with staging(spark) as at:
+        rows.repartition(3).write.parquet(f"{at}/in/a")
+        rows.filter("crc32(encode(chunk_id, 'utf-8')) % 3 = 0").coalesce(1).write.parquet(f"{at}/in/b")
+        for _ in range(2):
+            resumable(spark, f"{at}/in", rows.schema, f"{at}/out", f"{at}/state", "chunk_id", lambda df: df.withColumn("status", F.lit("ok"))).awaitTermination()
+        return durable(spark.read.schema("chunk_id string, status string").parquet(f"{at}/out"))
+
+
 # ---- tables ----
 def _grid_sql() -> str:
     ratio = lambda a, b: f"coalesce(({a})::double / nullif({b}, 0), 0)"
@@ -451,16 +535,16 @@ def meta_reference_counts(spark, d):
 # ---- incremental runs ----
 @expects("SELECT source_path, file_size FROM inventory WHERE source_pdf IN (SELECT source FROM documents)")
 def bootstrap_manifest(spark, d):
-    files = table(spark, d, "inventory").select("source_path", "source_pdf", "file_size")
-    return incremental.bootstrapped(files, _documents(spark, d).select(F.col("source").alias("source_pdf")), "source_pdf").select("source_path", "file_size")
+    known = table(spark, d, "inventory").select("source_path", "source_pdf", "file_size")
+    return incremental.bootstrapped(known, _documents(spark, d).select(F.col("source").alias("source_pdf")), "source_pdf").select("source_path", "file_size")
 
 
 @expects("SELECT i.source_path, CASE WHEN p.source_path IS NULL THEN 'new' ELSE 'changed' END AS change FROM inventory i LEFT JOIN processed_files p USING (source_path) WHERE p.source_path IS NULL OR p.file_size IS DISTINCT FROM i.file_size OR p.mtime_ns % 2 = 1")
 def changed_by_time(spark, d):
     """Files whose size or time differs; every file whose known time is odd counts as touched since."""
     state = table(spark, d, "processed_files")
-    files = table(spark, d, "inventory").select("source_path", "source_pdf", "file_size").join(state.select("source_path", (F.col("mtime_ns") + F.col("mtime_ns") % 2).alias("mtime_ns")), "source_path", "left")
-    return incremental.changed_files(files, state, fields=("file_size", "mtime_ns")).select("source_path", "change")
+    now = table(spark, d, "inventory").select("source_path", "source_pdf", "file_size").join(state.select("source_path", (F.col("mtime_ns") + F.col("mtime_ns") % 2).alias("mtime_ns")), "source_path", "left")
+    return incremental.changed_files(now, state, fields=("file_size", "mtime_ns")).select("source_path", "change")
 
 
 @expects(lambda: f"""WITH {o.records('quality_verdict')}, s AS (SELECT CASE quality_verdict WHEN 'accept' THEN 'ok' WHEN 'reject' THEN 'failed' END AS s FROM r)

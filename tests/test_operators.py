@@ -226,3 +226,9 @@ def test_topics_over_splits(spark):
     rows = [(["a", "b"], "train"), (["a"], "validation"), (["a"], "test"), (["c"], "test"), (["d"], None), (None, "train")]
     out = {r["topic"]: r["coverage"] for r in enrich.split_topics(spark.createDataFrame(rows, "t array<string>, s string"), "t", "s").collect()}
     assert out == {"a": "shared", "b": "train_not_validation", "c": "test_only"}
+
+
+def test_enriched_chunks_get_ids_and_tags(spark):
+    rows = [("a", "La paciente con hemorragia recibe transfusión.", "Manejo", "Guía Uno.pdf", None), ("b", None, None, "x.pdf", "own")]
+    out = {r["chunk_id"]: r for r in enrich.enriched(spark.createDataFrame(rows, "chunk_id string, text string, section string, source_pdf string, pdf_id string"), "text", "section").collect()}
+    assert out["a"]["pdf_id"] == "guia_uno" and out["b"]["pdf_id"] == "own" and out["a"]["topic_tags"] == out["a"]["topics"] == ["hemorrhage"] and out["b"]["topic_count"] == 0
