@@ -13,7 +13,7 @@ from tamiz.plans import oracle
 from tamiz.plans.durable import durable
 
 #: Production parameters.
-CAP_SHARE, P3_OVERLAP, P6_OVERLAP, TOP_SHARE, P3_COSINE = 0.02, 0.75, 0.70, 0.01, 0.8
+CAP_SHARE, P3_OVERLAP, P6_OVERLAP, TOP_SHARE, P3_COSINE, P8_CHARACTERS = 0.02, 0.75, 0.70, 0.01, 0.8, 8192
 SCORES = {"faithfulness": 1.0, "answer_relevancy": 1.0, "roundtrip_consistency": 1.0, "clinical_score": 1.0}
 
 
@@ -168,6 +168,18 @@ def p8_lengths(spark: SparkSession, d: str) -> DataFrame:
     return _containers(spark, d, (512, 1024, 2048))
 
 
+def p8_by_length(spark: SparkSession, d: str) -> DataFrame:
+    """Containers of 8,192 characters: of each document its length, its pieces and what of it was placed, and whether every container
+    keeps its capacity and all of them together need at most a twentieth more than the least number possible."""
+    sizes = table(spark, d, "documents").select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n"))
+    out = durable(packing.fill_containers(sizes, "doc_id", "n", (P8_CHARACTERS,)))
+    per = out.groupBy("container_id").agg(F.sum(F.col("item_end") - F.col("item_start")).alias("load"))
+    least = F.ceil(F.sum("load") / P8_CHARACTERS)
+    whole = per.agg((F.max("load") <= P8_CHARACTERS).alias("fits"), (F.count(F.lit(1)) <= 1.05 * least + 1).alias("tight"))
+    of = out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum(F.col("item_end") - F.col("item_start")).alias("placed"))
+    return sizes.join(of, "doc_id", "left").crossJoin(F.broadcast(whole)).select("doc_id", F.col("n").cast("long").alias("n"), "pieces", "placed", "fits", "tight")
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spam.spam_pages(table(spark, d, "documents"), "doc_id", "text", "lang").select("doc_id")
 
@@ -246,6 +258,8 @@ SELECT qa_id, pdf_id, split AS new_split FROM records JOIN b USING (pdf_id) JOIN
         "p3_found": f"WITH {_PAIRS} SELECT least(x, y) AS qa_id_a, greatest(x, y) AS qa_id_b FROM p",
         "p3_counts": f"WITH {_PAIRS} SELECT split, pdf_id, count(*) AS pairs, count(DISTINCT y) AS records FROM p JOIN q ON q.qa_id = y GROUP BY 1, 2",
         "p5_found": f"WITH {_COMBINED} SELECT qa_id FROM o WHERE rank <= (SELECT floor(count(*) / 100.0) FROM r)",
+        "p8_by_length": f"""SELECT doc_id, length(coalesce(text, ''))::bigint AS n, greatest(1, ceil(length(coalesce(text, '')) / {P8_CHARACTERS}.0::double))::bigint AS pieces,
+  length(coalesce(text, ''))::bigint AS placed, true AS fits, true AS tight FROM documents""",
         "p5_ranking": f"WITH {_COMBINED} SELECT qa_id, rank FROM o",
         "p6_found": f"""WITH RECURSIVE q AS (SELECT qa_id, contexto_fuente, respuesta FROM raw WHERE qa_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY qa_id ORDER BY row_no) = 1),
 v AS MATERIALIZED (SELECT qa_id, list_distinct([x FOR x IN string_split({words}, ' ') IF x <> '']) AS words FROM q),
