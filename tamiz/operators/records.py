@@ -128,3 +128,11 @@ def manifest_entries(inventory: DataFrame) -> DataFrame:
 def read_entries(entries: DataFrame) -> DataFrame:
     """Stored entries read back: ``excluded_with_reason`` is an excluded document again."""
     return entries.withColumn("inclusion_status", F.when(F.col("inclusion_status") == "excluded_with_reason", "excluded").otherwise(F.col("inclusion_status")))
+
+
+def joined_by_suffix(left: DataFrame, right: DataFrame, path: str) -> DataFrame:
+    """``left`` with the columns of the row of ``right`` whose file's name ends alike: what stands between the last underscore and the
+    extension. Rows of ``left`` without one stay."""
+    suffix = F.regexp_extract(F.col(path), r"_([^_/.]+)\.[^/]*$", 1)
+    of = right.withColumn("_s", suffix).drop(path)
+    return left.withColumn("_t", suffix).join(of, (F.col("_t") == F.col("_s")) & (F.col("_t") != ""), "left").drop("_s", "_t")

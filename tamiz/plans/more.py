@@ -533,6 +533,26 @@ def meta_reference_counts(spark, d):
 
 
 # ---- incremental runs ----
+@expects("""WITH i AS (SELECT source_path, source_pdf, row_number() OVER (ORDER BY pdf_id) % 5 AS k FROM inventory)
+SELECT source_path, source_pdf, 'old' AS batch FROM i WHERE k NOT IN (0, 1) UNION ALL SELECT source_path, 'renamed-' || source_pdf, 'new' FROM i WHERE k = 0 UNION ALL SELECT 'moved/' || source_path, source_pdf, 'new' FROM i WHERE k = 1""")
+def replaced_by_path_or_name(spark, d):
+    """Files that are known by another name, or by another path: both take the place of their old rows."""
+    rows = ch.ranked(table(spark, d, "inventory").select("pdf_id", "source_path", "source_pdf"), [], [F.col("pdf_id").asc()], "k").withColumn("k", F.col("k") % 5)
+    old = rows.select("source_path", "source_pdf", F.lit("old").alias("batch"))
+    renamed = rows.filter("k = 0").select("source_path", F.concat(F.lit("renamed-"), "source_pdf").alias("source_pdf"), F.lit("new").alias("batch"))
+    moved = rows.filter("k = 1").select(F.concat(F.lit("moved/"), "source_path").alias("source_path"), "source_pdf", F.lit("new").alias("batch"))
+    return incremental.replaced(old, renamed.unionByName(moved), "source_path", "source_pdf")
+
+
+@expects("SELECT a.doc_id, b.page AS raw_page FROM documents a JOIN documents b USING (doc_id) WHERE b.page IS NOT NULL AND b.doc_id % 2 = 0 UNION ALL SELECT doc_id, NULL FROM documents WHERE doc_id % 2 = 1 OR page IS NULL")
+def suffix_join(spark, d):
+    """Reports and the raw files of the same run, told by the end of their names; a report without one stays."""
+    rows = _documents(spark, d)
+    left = rows.select("doc_id", F.concat(F.lit("runs/report_"), "doc_id", F.lit(".json")).alias("path"))
+    right = rows.filter("doc_id % 2 = 0").select("page", F.concat(F.lit("raw/raw_"), "doc_id", F.lit(".jsonl")).alias("path"))
+    return records.joined_by_suffix(left, right, "path").select("doc_id", F.col("page").alias("raw_page"))
+
+
 @expects("SELECT source_path, file_size FROM inventory WHERE source_pdf IN (SELECT source FROM documents)")
 def bootstrap_manifest(spark, d):
     known = table(spark, d, "inventory").select("source_path", "source_pdf", "file_size")
