@@ -19,7 +19,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if set_ := sc.getCheckpointDir():
         return set_
     if not (path := spark.conf.get("spark.checkpoint.dir", None)):
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tamiz-checkpoint-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
