@@ -301,9 +301,9 @@ def cleaning_report(spark, d):
     return pages.cleaning_report(pages.classify_pages(_documents(spark, d), "text", "page"))
 
 
-def _chunks(spark, d, overlap):
+def _chunks(spark, d, overlap, most=1200):
     rows = pages.with_sections(_sourced(spark, d), "source", ["page", "doc_id"], "text")
-    out = ch.chunk_records(rows, "source", "section", "page", "doc_id", "text", 300, overlap)
+    out = ch.chunk_records(rows, "source", "section", "page", "doc_id", "text", most, overlap)
     return out.select("source", "section", "chunk", F.md5("text").alias("text_md5"), F.array_join("pages", ",").alias("pages"), "token_estimate", "clinical_score", F.array_join("quality_flags", ",").alias("flags"))
 
 
@@ -318,6 +318,12 @@ def chunk_parity_mode(spark, d):
     return _chunks(spark, d, 80)
 
 
+@query
+def chunk_small(spark, d):
+    """Chunks so small that many paragraphs exceed them."""
+    return _chunks(spark, d, 80, 100)
+
+
 @query
 def table_grid_quality(spark, d):
     """Runs of tabbed lines as grids."""

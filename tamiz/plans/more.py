@@ -50,7 +50,7 @@ SQL["paragraph_split"] = lambda: f"""WITH RECURSIVE {_paragraph_sql()}
 SELECT doc_id, count(nth)::int AS paragraphs, coalesce(max(length(t)), 0)::int AS longest FROM documents LEFT JOIN para USING (doc_id) GROUP BY 1"""
 
 
-def _chunk_sql(overlap: int, most: int = 300) -> str:
+def _chunk_sql(overlap: int, most: int = 1200) -> str:
     tok = lambda n: f"greatest(1, ceil(({n}) * 1.35::double))"
     flags = ", ".join(f"CASE WHEN {c} THEN {o.q(n)} END" for n, c in [
         ("short_chunk", "tokens < 180"), ("long_chunk", "tokens > 1500"), ("low_clinical_score", "score < 5"), ("reference_heavy", "rr >= 0.3"),
@@ -78,6 +78,7 @@ SELECT source, section, chunk, md5(text) AS text_md5, array_to_string(pages, ','
 
 SQL["chunk_fold"] = lambda: _chunk_sql(0)
 SQL["chunk_parity_mode"] = lambda: _chunk_sql(80)
+SQL["chunk_small"] = lambda: _chunk_sql(80, 100)
 
 
 @expects(lambda: f"SELECT doc_id, array_to_string(string_split(trim({o.sub(o.full('text'), tx.WS + '+', ' ')}), ' ')[-80:], ' ') AS tail FROM documents")
