@@ -4,6 +4,7 @@ import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +90,48 @@ def test_any_allocation_finds_the_same(spark, monkeypatch, pairs):
     assert {(r["a"], r["b"]) for r in fuzzy.similar_sets(sets, 0.7).collect()} == wanted
 
 
+@pytest.mark.parametrize(("seed", "threshold", "colour"), [(31, 0.7, 128), (32, 0.7, 4), (33, 0.5, 2), (34, 0.85, 8), (35, 1.0, 4)])
+def test_pairs_of_scarce_words_lose_no_link(spark, monkeypatch, seed, threshold, colour):
+    """Words too frequent to be compared one by one: pairs of them, also in sets long enough for colours, beside other classes."""
+    kinds = fuzzy.word_kinds
+    monkeypatch.setattr(fuzzy, "word_kinds", lambda counts, n: kinds(counts, n, seed % 2 / 4, 30.0))
+    for name, value in (("SCARCE_SHARE", 0.45), ("SCARCE_WORDS", 1e9), ("SCARCE_PAIRS", 1e9), ("COLOUR_WORDS", colour)):
+        monkeypatch.setattr(fuzzy, name, value)
+    texts = corpus(seed)
+    sets = postings.word_set_table(spark.createDataFrame(list(enumerate(texts)), "i long, t string").repartition(3), ["i"], ["t"]).persist()
+    counts = postings.document_counts(sets)
+    assert (fuzzy.word_kinds(counts, sets.count()) == 4).sum() > 20
+    by_key = {r["key"]: set(words(texts[r["i"]])) for r in sets.collect()}
+    wanted = {(a, b) for a in by_key for b in by_key if a < b and jaccard(by_key[a], by_key[b]) >= threshold - 1e-9}
+    assert {(r["a"], r["b"]) for r in fuzzy.similar_sets(sets, threshold).collect()} == wanted
+
+
+def test_comparisons_a_set_stay_bounded_as_sets_grow(monkeypatch):
+    """Texts of frequent sentences that name eight of 2,000 things: pairs compared a set at 16,000 texts are at most twice those
+    at 4,000. With single words and segments alone they grow as the texts do (35 and 119)."""
+    monkeypatch.setattr(fuzzy, "SCARCE_SHARE", 0.01, raising=False)
+
+    def compared(n):
+        rng = np.random.default_rng(3)
+        sentences = rng.integers(0, 40, (n, 5))
+        things = rng.integers(0, 2000, (n, 8))
+        texts = [" ".join([*(f"s{x}w{i}" for x in a for i in range(8)), *(f"n{x}" for x in b)]) for a, b in zip(sentences, things, strict=True)]
+        bounds, tokens = word_sets(texts)
+        counts = np.bincount(postings.bucket_of(tokens), minlength=1 << postings.BUCKET_BITS)
+        rarity = np.rint(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+        plan = fuzzy.Allocation(0.7, fuzzy.word_kinds(counts, n, 5.0), rarity)
+        batch = pa.RecordBatch.from_pydict({"key": pa.array(np.arange(n)), "tokens": [postings.pack(tokens[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]})
+        budget = fuzzy._read(plan, batch)[5]
+        plan = fuzzy.Allocation(0.7, plan.kinds, rarity, fuzzy.choose_bands(np.bincount(np.maximum(budget, 0).astype(int))))
+        sig, _, _, value, _ = fuzzy._emit(plan, None)(batch)
+        whole, deleted = (np.unique(sig[value % 2 == v], return_counts=True) for v in (0, 1))
+        both = np.intersect1d(whole[0], deleted[0], return_indices=True)
+        return ((whole[1] * (whole[1] - 1.0) / 2).sum() + (whole[1][both[1]] * 1.0 * deleted[1][both[2]]).sum()) / n
+
+    few, many = compared(4000), compared(16000)
+    assert many <= 2 * few, (few, many)
+
+
 def test_sets_of_any_budget_keep_their_links(spark, monkeypatch):
     """Long texts with no rare word, whose budgets (over 5,000) are above the histogram's last bucket, beside short ones."""
     kinds = fuzzy.word_kinds
