@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions import text as tx
 from tamiz.operators import chunks as ch
-from tamiz.operators import duplicates, enrich, evaluation, extraction, incremental, qa, records, reports
+from tamiz.operators import alike, duplicates, enrich, evaluation, extraction, incremental, qa, records, reports
 from tamiz.operators.ordered import running_total
 from tamiz.sources import files
 from tamiz.streaming.incremental import progress, staging, upsert_by_source
@@ -239,3 +239,41 @@ def test_block_split_and_samples_agree_on_reruns(spark):
     split = {(r["d"], r["i"]): r["split"] for r in got.collect()}
     held = [i for d, i in rows if d == "a" and split[d, i] == "validation"]
     assert len(held) == 3 and held[1] - held[0] == held[2] - held[1] == 10 and split["b", 1] == split["b", 2] == "train" and len(split) == len(rows)
+
+
+def _edited(rng, words):
+    """Twelve documents of 3 to 60 words, and copies of each with letters changed, left out and put in, all over or at one place."""
+    out = []
+    for n in (3, 8, 15, 22, 24, 26, 28, 30, 34, 40, 50, 60):
+        base = " ".join(rng.choice(words) for _ in range(n))
+        out += [base, base[: len(base) * 4 // 5], base[: len(base) // 2] + "xx" + base[len(base) // 2 :], base[1:]]
+        for share in (0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.12, 0.14):
+            copy = list(base)
+            for k in rng.sample(range(len(copy)), int(len(copy) * share)):
+                copy[k] = rng.choice(("", "x", "q", copy[k] + "e", "a")) if copy[k] != " " else " "
+            out.append("".join(copy))
+    return list(dict.fromkeys(out))
+
+
+def test_near_documents_are_all_found(spark):
+    """Edits spread over all words, few of which stay in common: every pair that difflib finds alike, in one group or in many."""
+    rng = random.Random(7)
+    texts = _edited(rng, ["".join(rng.choice("aeiourstnlcdmpbgv") for _ in range(rng.randrange(6, 10))) for _ in range(300)])
+    ids = [f"d{i:03d}" for i in rng.sample(range(1000), len(texts))]
+    ordered = sorted(zip(ids, texts, strict=True))
+    want = {(a, b): r for i, (a, x) in enumerate(ordered) for b, y in ordered[i + 1 :] if (r := SequenceMatcher(None, x, y).ratio()) >= 0.85}
+    assert len(want) > 50 and any(len(y) >= 200 for b, y in ordered if b in {w[1] for w in want})
+    prints = spark.createDataFrame(list(zip(ids, texts, strict=True)), "id string, fingerprint string")
+    for group in (4096, 7):
+        got = [(r["id_a"], r["id_b"], r["similarity"]) for r in duplicates.near_documents(prints, group=group).collect()]
+        assert sorted(r[:2] for r in got) == sorted(want) and all(abs(r[2] - want[r[:2]]) < 1e-4 for r in got)
+
+
+def test_few_documents_are_compared_in_full():
+    """Texts made of the same few sentences share many words, yet next to none are left for difflib."""
+    rng = random.Random(3)
+    sentences = [" ".join("".join(rng.choice("aeiourstnlcdmpbgv") for _ in range(rng.randrange(4, 11))) for _ in range(13)) for _ in range(25)]
+    names = ["".join(rng.choice("bcdfglmnprstvaeio") for _ in range(10)) for _ in range(400)]
+    texts = alike.Texts([" ".join(f"{s} {rng.choice(names)}" for s in rng.sample(sentences, 3)) for _ in range(1500)])
+    left = sum(len(i) for i, _ in alike.candidates(texts, texts, 0.85, itself=True))
+    assert left < 0.001 * 1500 * 1499 / 2
